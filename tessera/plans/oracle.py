@@ -6,7 +6,7 @@ mirroring it.  Only the binding's value encodings are shared.
 """
 from __future__ import annotations
 
-from tessera.functions.hashing import hash_unit_sql
+from tessera.functions.hashing import hash_u32_sql as hash_u32_sql_, hash_unit_sql
 from tessera.functions.scalars import COUNTRY_RULES, TARGET_DEFAULT, TARGET_RULES
 from tessera.ml import evaluate as E
 from tessera.plans import binding as B
@@ -310,7 +310,7 @@ UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), (SELECT n FR
 UNION ALL SELECT 'weighted avg', sum(precision * support) / (SELECT n FROM t), sum(recall * support) / (SELECT n FROM t),
                  sum(f1 * support) / (SELECT n FROM t), (SELECT n FROM t) FROM f"""
 SQL["ml_classification_report"] = rnd(_REP, ["precision", "recall", "f1"])
-_TS = ", ".join(f"({t})" for t in E.SWEEP_THRESHOLDS)
+_TS = ", ".join(f"(CAST({t} AS DOUBLE))" for t in E.SWEEP_THRESHOLDS)
 SQL["ml_threshold_sweep"] = rnd(f"""
 SELECT threshold, c01 + c11 AS n_pred_pass, {PAIR} FROM (
   SELECT t.threshold,
@@ -358,3 +358,71 @@ SQL["fn_zero_guard"] = (f"SELECT report_id, d AS denominator, CASE WHEN d = 0 TH
                         f"(SELECT report_id, n_maj_min * 2 + n_major + n_minor + n_pass AS d "
                         f"FROM ({SQL['agg_count_pivot']}) c) z")
 SQL["lim_first"] = LOOKUP
+
+# -------------------------------------------------------------------------- 2.8 preparation / ADASYN
+CAT_DOMAINS = {
+    "product_name": ["F", "O", "P"],
+    "manu_add": sorted(B.REGION_DOMAIN + [f"NATION_{B.NULL_MANUFACTURER}"]),
+    "manu_std_name": sorted(f"NATION_{i}" for i in range(25) if i != B.NULL_MANUFACTURER),
+    "client_std_name": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+}
+
+
+def _slug(v) -> str:
+    return "".join(ch if ch.isalnum() else "_" for ch in str(v).lower()).strip("_")
+
+
+SQL["ml_dummies"] = "SELECT report_id, " + ", ".join(
+    f"CASE WHEN {c} = {lit(v)} THEN 1 ELSE 0 END AS {c}_{_slug(v)}"
+    for c, dom in CAT_DOMAINS.items() for v in dom) + f" FROM ({MASTER}) m"
+SQL["ml_label_encode"] = "SELECT report_id, " + ", ".join(
+    f"CAST(CASE WHEN {c} IS NULL THEN (SELECT count(DISTINCT {c}) FROM ({MASTER}) z) "
+    f"ELSE dense_rank() OVER (ORDER BY {c}) - 1 END AS DOUBLE) AS {c}_code"
+    for c in CAT_DOMAINS) + f" FROM ({MASTER}) m"
+_LM = f"SELECT * FROM ({MASTER}) m WHERE final_result IS NOT NULL"
+_NUM = [c for c in MASTER_COLS if c not in ("report_id", "report_date", "final_result") and c not in CAT_DOMAINS]
+SQL["ml_impute_init"] = rnd(
+    "SELECT report_id, report_date, final_result, " + ", ".join(
+        f"CAST(coalesce(CAST({c} AS DOUBLE), (SELECT avg(CAST({c} AS DOUBLE)) FROM lm)) AS DOUBLE) AS {c}" for c in _NUM)
+    + ", " + ", ".join(
+        f"coalesce({c}, (SELECT {c} FROM lm WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)) AS {c}"
+        for c in CAT_DOMAINS) + " FROM lm",
+    _NUM)
+SQL["ml_impute_init"] = f"WITH lm AS ({_LM}) " + SQL["ml_impute_init"]
+SQL["ml_split_stratified"] = (f"SELECT report_id, final_result, {hash_unit_sql('report_id', 42)} < 0.1 AS is_test "
+                              f"FROM ({_LM}) m")
+
+_EMB = "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 9)) + \
+       " FROM embeddings"
+_D2 = " + ".join(f"(q.e{i} - p.e{i}) * (q.e{i} - p.e{i})" for i in range(1, 9))
+_HARD = f"""
+WITH pt AS ({_EMB}), q AS (SELECT * FROM pt WHERE label < 3),
+nn AS (SELECT q.vec_id AS qid, p.label AS plabel,
+              row_number() OVER (PARTITION BY q.vec_id ORDER BY {_D2}, p.vec_id) AS rk
+       FROM q JOIN pt p ON q.vec_id <> p.vec_id),
+h AS (SELECT q.vec_id AS qid, CAST(coalesce(sum(CASE WHEN nn.plabel >= 3 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_major
+      FROM q LEFT JOIN nn ON q.vec_id = nn.qid AND nn.rk <= 5 GROUP BY q.vec_id),
+s AS (SELECT sum(n_major) AS tot FROM h),
+g AS (SELECT sum(CASE WHEN label >= 3 THEN 1 ELSE 0 END) - sum(CASE WHEN label < 3 THEN 1 ELSE 0 END) AS g FROM pt),
+r AS (SELECT qid, n_major, n_major * g.g AS num, s.tot AS den FROM h, s, g)
+SELECT qid AS vec_id, n_major, CAST(n_major AS DOUBLE) / 5.0 AS hardness,
+       CAST(floor(num / den) + CASE WHEN 2 * (num - floor(num / den) * den) > den
+                                    OR (2 * (num - floor(num / den) * den) = den AND floor(num / den) % 2 = 1)
+                               THEN 1 ELSE 0 END AS INTEGER) AS n_generate
+FROM r"""
+SQL["ml_adasyn_hardness"] = rnd(_HARD, ["hardness"])
+_S1 = 11
+_SAMPLES = f"""
+WITH mn AS (SELECT * FROM ({_EMB}) e WHERE label < 3),
+nn AS (SELECT q.vec_id AS qid, p.vec_id AS pid,
+              row_number() OVER (PARTITION BY q.vec_id ORDER BY {_D2}, p.vec_id) AS rk
+       FROM mn q JOIN mn p ON q.vec_id <> p.vec_id),
+g AS ({_HARD}),
+s AS (SELECT vec_id AS qid, CAST(unnest(range(1, n_generate + 1)) AS BIGINT) AS j FROM g WHERE n_generate > 0),
+pick AS (SELECT qid, j,
+   CAST(floor({hash_unit_sql(f"({hash_u32_sql_('qid', _S1)} + j)", _S1 + 1)} * 5) AS INTEGER) + 1 AS rk,
+   {hash_unit_sql(f"({hash_u32_sql_('qid', _S1 + 2)} + j)", _S1 + 3)} AS u FROM s)
+SELECT pick.qid AS vec_id, pick.j, """ + ", ".join(f"q.e{i} + pick.u * (p.e{i} - q.e{i}) AS e{i}" for i in range(1, 9)) + """
+FROM pick JOIN nn ON pick.qid = nn.qid AND pick.rk = nn.rk
+JOIN mn q ON q.vec_id = pick.qid JOIN mn p ON p.vec_id = nn.pid"""
+SQL["ml_adasyn_samples"] = rnd(_SAMPLES, [f"e{i}" for i in range(1, 9)])

@@ -526,3 +526,106 @@ def q_srt_desc(spark, sf):
 @query("lim_first")
 def q_lim_first(spark, sf):
     return J.first_per_key(B.address_lookup(_t(spark, sf)), "manu_id", "country", "_order")
+
+
+# ---------------------------------------------------------------- 2.8 preparation / evaluation
+from tessera.ml import adasyn as AD  # noqa: E402
+from tessera.ml import prepare as PP  # noqa: E402
+
+
+def _labelled_master(spark, sf) -> DataFrame:
+    return build_master(_t(spark, sf)).dropna(subset=[B.TARGET])
+
+
+@query("ml_dummies")
+def q_ml_dummies(spark, sf):
+    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS)
+    out, _ = PP.dummies(m, B.CATEGORICAL_COLUMNS)
+    return out
+
+
+@query("ml_label_encode")
+def q_ml_label_encode(spark, sf):
+    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS)
+    return PP.label_encode(m, B.CATEGORICAL_COLUMNS).drop(*B.CATEGORICAL_COLUMNS)
+
+
+def numeric_features(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if f.name != "report_id"
+            and isinstance(f.dataType, (T.IntegerType, T.LongType, T.DoubleType))]
+
+
+@query("ml_impute_init")
+def q_ml_impute_init(spark, sf):
+    m = _labelled_master(spark, sf)
+    out, _ = PP.impute_initial(m, numeric_features(m), B.CATEGORICAL_COLUMNS)
+    return rounded(out)
+
+
+@query("ml_split_stratified")
+def q_ml_split_stratified(spark, sf):
+    m = _labelled_master(spark, sf).select("report_id", B.TARGET)
+    return PP.hash_split(m, "report_id", 0.1, seed=42)
+
+
+EMB_DIMS = 8
+EMB_COLS = [f"e{i}" for i in range(1, EMB_DIMS + 1)]
+MINORITY_LABEL_BELOW = 3
+ADASYN_K = 5
+ADASYN_SEED = 11
+
+
+def _embeddings(spark, sf) -> DataFrame:
+    e = _t(spark, sf).embeddings
+    return e.select("vec_id", "label", *[F.element_at("embedding", i).cast("double").alias(f"e{i}")
+                                         for i in range(1, EMB_DIMS + 1)])
+
+
+def _minority() -> F.Column:
+    return F.col("label") < MINORITY_LABEL_BELOW
+
+
+@query("ml_adasyn_hardness")
+def q_ml_adasyn_hardness(spark, sf):
+    return rounded(AD.adasyn_hardness(_embeddings(spark, sf), "vec_id", EMB_COLS, _minority(), ADASYN_K))
+
+
+@query("ml_adasyn_samples")
+def q_ml_adasyn_samples(spark, sf):
+    return rounded(AD.adasyn_samples(_embeddings(spark, sf), "vec_id", EMB_COLS, _minority(), ADASYN_K,
+                                     seed=ADASYN_SEED))
+
+
+@query("ml_predict_threshold")
+def q_ml_predict_threshold(spark, sf):
+    s = _scored(spark, sf)
+    return rounded(E.predict_threshold(s, "p_pass", 0.5).select("doc_id", "truth", "p_pass", "prediction"))
+
+
+def _pred(spark, sf) -> DataFrame:
+    return E.predict_threshold(_scored(spark, sf), "p_pass", 0.5)
+
+
+@query("ml_confusion")
+def q_ml_confusion(spark, sf):
+    return E.confusion(_pred(spark, sf), "truth", "prediction")
+
+
+@query("ml_precision_pair")
+def q_ml_precision_pair(spark, sf):
+    return rounded(E.precision_pair(_pred(spark, sf), "truth", "prediction"))
+
+
+@query("ml_log_loss")
+def q_ml_log_loss(spark, sf):
+    return rounded(E.log_loss(_scored(spark, sf), "truth", "p_pass"))
+
+
+@query("ml_classification_report")
+def q_ml_classification_report(spark, sf):
+    return rounded(E.classification_report(_pred(spark, sf), "truth", "prediction"))
+
+
+@query("ml_threshold_sweep")
+def q_ml_threshold_sweep(spark, sf):
+    return rounded(E.threshold_sweep(_scored(spark, sf), "truth", "p_pass"))
