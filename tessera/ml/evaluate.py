@@ -179,4 +179,5 @@ def histogram(spark: SparkSession, df: DataFrame, col: str, bins: int = 50) -> D
     return (edges.join(counts, "bin", "left")
             .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width / bins)).alias("lo"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width / bins)).alias("hi"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n")))
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n"))
+            .orderBy("bin"))

@@ -629,3 +629,104 @@ def q_ml_classification_report(spark, sf):
 @query("ml_threshold_sweep")
 def q_ml_threshold_sweep(spark, sf):
     return rounded(E.threshold_sweep(_scored(spark, sf), "truth", "p_pass"))
+
+
+# ---------------------------------------------------------------- 2.8 models (no SQL oracle)
+from tessera.ml import impute as IM  # noqa: E402
+from tessera.ml import train as TR  # noqa: E402
+
+MODEL_THRESHOLD = 0.5
+MODEL_SEED = 0
+MODEL_ITER = 20
+# Registered grid: a slice of the reference grid (the full 720 combinations are
+# ``TR.REFERENCE_GRID``), kept small so the registered query runs in minutes.
+QUERY_GRID = {"eta": [0.15, 0.3], "max_depth": [2, 4]}
+GRID_FOLDS = 6
+REPEAT_RUNS = 3
+
+
+def _frame(spark, sf):
+    m = build_master(_t(spark, sf))
+    return TR.feature_frame(m, "report_id", B.TARGET, B.CATEGORICAL_COLUMNS, exclude=["report_date"])
+
+
+def _balanced(spark, sf, seed=MODEL_SEED):
+    frame, feats = _frame(spark, sf)
+    train, test = TR.split_and_balance(frame.checkpoint(eager=True), "report_id", feats, seed)
+    return train, test, feats
+
+
+@query("ml_boosted_fit")
+def q_ml_boosted_fit(spark, sf):
+    train, test, feats = _balanced(spark, sf)
+    model = TR.fit_boosted(train, feats, None, MODEL_ITER, MODEL_SEED)
+    scored = TR.p_pass(model.transform(TR.assemble(test, feats)))
+    return rounded(scored.select("report_id", TR.truth_col().alias("truth"), "p_pass",
+                                 E.threshold_label(F.col("p_pass"), MODEL_THRESHOLD).alias("prediction")))
+
+
+@query("ml_feature_importance")
+def q_ml_feature_importance(spark, sf):
+    train, _, feats = _balanced(spark, sf)
+    model = TR.fit_boosted(train, feats, None, MODEL_ITER, MODEL_SEED)
+    return rounded(TR.feature_importance(spark, model, feats))
+
+
+@query("ml_pipeline_run")
+def q_ml_pipeline_run(spark, sf):
+    frame, feats = _frame(spark, sf)
+    return rounded(TR.pipeline_run(frame.checkpoint(eager=True), "report_id", feats, MODEL_THRESHOLD,
+                                   None, MODEL_SEED, MODEL_ITER))
+
+
+@query("ml_repeat_eval")
+def q_ml_repeat_eval(spark, sf):
+    frame, feats = _frame(spark, sf)
+    _, stats = TR.repeat_eval(frame.checkpoint(eager=True), "report_id", feats, MODEL_THRESHOLD,
+                              REPEAT_RUNS, None, MODEL_ITER)
+    return rounded(stats)
+
+
+@query("ml_grid_search")
+def q_ml_grid_search(spark, sf):
+    train, _, feats = _balanced(spark, sf)
+    table, _ = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+    return rounded(table)
+
+
+@query("ml_cv_compare")
+def q_ml_cv_compare(spark, sf):
+    train, _, feats = _balanced(spark, sf)
+    _, best = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+    tuned = TR.cv_accuracy(train, "report_id", feats, best, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
+    default = TR.cv_accuracy(train, "report_id", feats, None, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
+    return rounded(spark.createDataFrame([("tuned", tuned), ("untuned", default)], "model string, cv_accuracy double"))
+
+
+@query("ml_decision_tree")
+def q_ml_decision_tree(spark, sf):
+    train, test, feats = _balanced(spark, sf)
+    model = TR.decision_tree(train, feats, 10, MODEL_SEED)
+    pred = model.transform(TR.assemble(test, feats)).select(
+        TR.truth_col().alias("truth"),
+        F.when(F.col("prediction") == 1.0, F.lit(E.POS)).otherwise(F.lit(E.NEG)).alias("prediction"))
+    return rounded(E.classification_report(pred, "truth", "prediction"))
+
+
+@query("ml_tree_rules")
+def q_ml_tree_rules(spark, sf):
+    train, _, feats = _balanced(spark, sf)
+    model = TR.decision_tree(train, feats, 10, MODEL_SEED)
+    return rounded(TR.tree_rules(model, train, feats))
+
+
+MICE_ITERATIONS = 5
+
+
+@query("ml_mice")
+def q_ml_mice(spark, sf):
+    m = _labelled_master(spark, sf).drop("report_date")
+    numeric = numeric_features(m)
+    out = IM.mice(m, "report_id", numeric, B.CATEGORICAL_COLUMNS, iterations=MICE_ITERATIONS, datasets=1,
+                  seed=MODEL_SEED)[0]
+    return rounded(out)

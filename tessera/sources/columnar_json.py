@@ -33,11 +33,11 @@ def read_columnar_json(spark: SparkSession, path: str, columns: Sequence[str],
     )
     # Rows come from the keys of the first column's map; every cell is then a
     # map lookup inside the same task -- no explode-and-pivot shuffle.
-    first = F.col("m").getItem(str(columns[0]))
+    first = F.col("m")[str(columns[0])]
     rows = parsed.select("_file", "m", F.explode(F.map_keys(first)).alias("row"))
     out = [F.col("_file"), F.col("row").cast("long").alias("_row")]
     for c, n, t in zip(columns, names, types):
-        out.append(F.col("m").getItem(str(c)).getItem(F.col("row")).cast(t).alias(n))
+        out.append(F.col("m")[str(c)][F.col("row")].cast(t).alias(n))
     return rows.select(*out)
 
 
