@@ -29,6 +29,32 @@ def domain_of(df: DataFrame, col: str, exclude: Sequence = ("None",), cap: int =
     return sorted(r[0] for r in vals)
 
 
+def domains_of(df: DataFrame, cols: Sequence[str], exclude: Sequence = (), cap: int = 10_000) -> dict[str, list]:
+    """Domains of several columns in ONE distinct job over (column, value) pairs."""
+    pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v"))
+                                          for c in cols])).alias("p")).select("p.*")
+    pairs = pairs.where(F.col("v").isNotNull())
+    if exclude:
+        pairs = pairs.where(~F.col("v").isin(list(exclude)))
+    rows = pairs.distinct().limit(cap * len(cols) + 1).collect()
+    out: dict[str, list] = {c: [] for c in cols}
+    for r in rows:
+        out[r["col"]].append(r["v"])
+    for c, vals in out.items():
+        if len(vals) > cap:
+            raise ValueError(f"domain of {c!r} exceeds {cap} values; use a sparse encoding")
+    types = dict(df.dtypes)
+    return {c: sorted(v if types[c] == "string" else _cast_back(v, types[c]) for v in out[c]) for c in cols}
+
+
+def _cast_back(v: str, dtype: str):
+    if dtype in ("int", "bigint", "smallint", "tinyint"):
+        return int(v)
+    if dtype in ("double", "float"):
+        return float(v)
+    return v
+
+
 def _names(domain: Sequence, names: dict | None, prefix: str) -> list[str]:
     return [(names or {}).get(v, f"{prefix}{v}") for v in domain]
 

@@ -539,7 +539,7 @@ def _labelled_master(spark, sf) -> DataFrame:
 
 @query("ml_dummies")
 def q_ml_dummies(spark, sf):
-    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS)
+    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS).checkpoint(eager=True)
     out, _ = PP.dummies(m, B.CATEGORICAL_COLUMNS)
     return out
 
@@ -557,7 +557,7 @@ def numeric_features(df: DataFrame) -> list[str]:
 
 @query("ml_impute_init")
 def q_ml_impute_init(spark, sf):
-    m = _labelled_master(spark, sf)
+    m = _labelled_master(spark, sf).checkpoint(eager=True)
     out, _ = PP.impute_initial(m, numeric_features(m), B.CATEGORICAL_COLUMNS)
     return rounded(out)
 
