@@ -24,7 +24,7 @@ from tessera.operators.update import update_by_key
 from tessera.plans import binding as B
 from tessera.plans.features import aggregate_source, attach_specs
 from tessera.plans.master import build_master, feature_sources, report_base
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import checkpoint, ensure_checkpoint_dir
 from tessera.sources import columnar_json as CJ
 from tessera.sources.lookup import read_lookup_csv
 from tessera.sources.stage import read_stage_table, write_table
@@ -539,7 +539,7 @@ def _labelled_master(spark, sf) -> DataFrame:
 
 @query("ml_dummies")
 def q_ml_dummies(spark, sf):
-    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS).checkpoint(eager=True)
+    m = checkpoint(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS))
     out, _ = PP.dummies(m, B.CATEGORICAL_COLUMNS)
     return out
 
@@ -557,7 +557,7 @@ def numeric_features(df: DataFrame) -> list[str]:
 
 @query("ml_impute_init")
 def q_ml_impute_init(spark, sf):
-    m = _labelled_master(spark, sf).checkpoint(eager=True)
+    m = checkpoint(_labelled_master(spark, sf))
     out, _ = PP.impute_initial(m, numeric_features(m), B.CATEGORICAL_COLUMNS)
     return rounded(out)
 
@@ -663,7 +663,7 @@ def _frame(spark, sf):
     def build():
         m = build_master(_t(spark, sf))
         frame, feats = TR.feature_frame(m, "report_id", B.TARGET, B.CATEGORICAL_COLUMNS, exclude=["report_date"])
-        return frame.checkpoint(eager=True), feats
+        return checkpoint(frame), feats
     return _memo(spark, ("frame", sf), build)
 
 

@@ -47,3 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def checkpoint(df):
+    """Reliable checkpoint (cuts lineage; survives executor loss) into the
+    session's checkpoint directory."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
