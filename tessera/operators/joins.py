@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,7 +31,7 @@ def attach_features(master: DataFrame, feats: DataFrame, key: str, feat_key: str
     right = feats.withColumnRenamed(feat_key, "__fk")
     out = master.join(right, master[key] == right["__fk"], "left").drop("__fk")
     if default is not None:
-        out = out.fillna({c: default for c in cols}) if not isinstance(default, Column) else out
+        out = out.fillna({c: default for c in cols})
     return out
 
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tessera.functions.scalars import classify_target
 from tessera.operators.joins import dim_join, first_per_key, lookup_replace
