@@ -60,6 +60,17 @@ def _value(spec: FeatureSpec) -> Column:
     return spec.remap(v) if spec.remap is not None else v
 
 
+def _code_column(spec: FeatureSpec) -> Column:
+    """Index of the (remapped) value in the spec's domain, null outside it --
+    evaluated once per row, so each aggregate below is an int comparison."""
+    val = _value(spec)
+    out = None
+    for i, v in enumerate(spec.domain):
+        hit = val == F.lit(v)
+        out = F.when(hit, F.lit(i)) if out is None else out.when(hit, F.lit(i))
+    return out if out is not None else F.lit(None).cast("int")
+
+
 def _agg_exprs(spec: FeatureSpec) -> list[Column]:
     """Partial-aggregatable expressions for one spec; internal names are
     prefixed with the spec name so specs never collide."""
@@ -69,9 +80,9 @@ def _agg_exprs(spec: FeatureSpec) -> list[Column]:
         out.append(F.count(F.when(cond, F.lit(1))).alias(f"__{spec.name}__n"))
     if spec.kind == "row_count":
         return out if spec.where else [F.count(F.lit(1)).alias(f"__{spec.name}__n")]
-    val = _value(spec)
-    for v, c in zip(spec.domain, spec.count_columns()):
-        hit = val == F.lit(v)
+    code = F.col(f"__{spec.name}__code")
+    for i, c in enumerate(spec.count_columns()):
+        hit = code == F.lit(i)
         if cond is not None:
             hit = hit & cond
         one = F.when(hit, F.lit(1)).otherwise(F.lit(0))
@@ -113,6 +124,9 @@ def aggregate_source(bridge: DataFrame, key: str, specs: Sequence[FeatureSpec],
                      key_alias: str | None = None) -> DataFrame:
     """One hash aggregate computing every spec over one bridge."""
     k = key_alias or key
+    codes = {f"__{s.name}__code": _code_column(s) for s in specs if s.kind != "row_count"}
+    if codes:
+        bridge = bridge.withColumns(codes)
     aggs = [e for s in specs for e in _agg_exprs(s)]
     grouped = bridge.groupBy(F.col(key).alias(k)).agg(*aggs)
     return grouped.select(k, *[e for s in specs for e in _final_exprs(s)])
