@@ -191,6 +191,9 @@ def line_bridge(t: Tables, with_supplier: bool = True) -> DataFrame:
     return out
 
 
+SUPPLIER_COLUMNS = ("insp_region", "s_name")
+
+
 def with_results(bridge: DataFrame) -> DataFrame:
     """Add the encoded result columns and the phase to a line bridge."""
     cols = {f"{k}_result": case_column(v) for k, v in RESULTS.items()}

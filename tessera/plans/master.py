@@ -32,15 +32,19 @@ def report_base(t: B.Tables) -> DataFrame:
     return lookup_replace(rep, lookup, "manu_id", "manu_id", "country", "manu_add", bounded=True)
 
 
-def feature_sources(t: B.Tables) -> dict[str, tuple[DataFrame, str]]:
-    return {"lines": (B.with_results(B.line_bridge(t)), "l_orderkey")}
+def feature_sources(t: B.Tables, specs: Sequence[FeatureSpec] | None = None) -> dict[str, tuple[DataFrame, str]]:
+    """The line bridge; the supplier side is joined only when a spec reads it
+    (Catalyst prunes unused columns but keeps an unused outer join)."""
+    specs = list(specs if specs is not None else B.feature_specs())
+    supplier = any(s.value in B.SUPPLIER_COLUMNS for s in specs)
+    return {"lines": (B.with_results(B.line_bridge(t, with_supplier=supplier)), "l_orderkey")}
 
 
 def build_master(t: B.Tables, specs: Sequence[FeatureSpec] | None = None,
                  keep_report_id: bool = True) -> DataFrame:
     specs = list(specs if specs is not None else B.feature_specs())
     rep = report_base(t).select(*REPORT_COLUMNS)
-    out = attach_specs(rep, "report_id", feature_sources(t), specs)
+    out = attach_specs(rep, "report_id", feature_sources(t, specs), specs)
     out = out.withColumn("final_result", classify_target("final_result"))
     feat_cols = [c for s in specs for c in s.output_columns()]
     cols = REPORT_COLUMNS + feat_cols

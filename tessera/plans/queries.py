@@ -62,8 +62,8 @@ def _spec(name: str):
     return next(s for s in B.feature_specs() if s.name == name)
 
 
-def _lines(t: B.Tables) -> DataFrame:
-    return B.with_results(B.line_bridge(t))
+def _lines(t: B.Tables, with_supplier: bool = False) -> DataFrame:
+    return B.with_results(B.line_bridge(t, with_supplier=with_supplier))
 
 
 # ---------------------------------------------------------------- flagship
@@ -290,7 +290,7 @@ def _feature_join(spark, sf, name: str) -> DataFrame:
     t = _t(spark, sf)
     spec = _spec(name)
     rep = B.orders_view(t).select("report_id")
-    return rounded(attach_specs(rep, "report_id", feature_sources(t), [spec]))
+    return rounded(attach_specs(rep, "report_id", feature_sources(t, [spec]), [spec]))
 
 
 for _name in ("qa", "celltech", "el", "vi1", "vi2", "cons", "pt", "label"):
