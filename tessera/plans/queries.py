@@ -92,7 +92,7 @@ def q_src_columnar_json(spark, sf):
 @query("src_catalog")
 def q_src_catalog(spark, sf):
     tables = read_tables(spark, sf, B.TABLES)
-    views = register_catalog(tables)
+    views = register_catalog(tables, prefix="tessera_")
     parts = [spark.table(v).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
              for n, v in views.items()]
     out = parts[0]

@@ -29,8 +29,10 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str], **kw) -> d
     return {n: read_table(spark, base, n, **kw) for n in names}
 
 
-def register_catalog(tables: dict[str, DataFrame]) -> dict[str, str]:
-    """Expose every DataFrame as a temp view; returns name -> view name."""
+def register_catalog(tables: dict[str, DataFrame], prefix: str = "") -> dict[str, str]:
+    """Expose every DataFrame as a temp view named ``prefix + name``;
+    returns name -> view name."""
+    views = {n: f"{prefix}{n}" for n in tables}
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return {n: n for n in tables}
+        df.createOrReplaceTempView(views[name])
+    return views
