@@ -389,8 +389,17 @@ SQL["ml_impute_init"] = rnd(
         for c in CAT_DOMAINS) + " FROM lm",
     _NUM)
 SQL["ml_impute_init"] = f"WITH lm AS ({_LM}) " + SQL["ml_impute_init"]
-SQL["ml_split_stratified"] = (f"SELECT report_id, final_result, {hash_unit_sql('report_id', 42)} < 0.1 AS is_test "
-                              f"FROM ({_LM}) m")
+SQL["ml_split_stratified"] = f"""
+WITH m AS ({_LM}),
+c AS (SELECT final_result, count(*) AS n FROM m GROUP BY final_result),
+t AS (SELECT sum(n) AS total, CAST(ceil(CAST(0.1 AS DOUBLE) * sum(n)) AS BIGINT) AS nt FROM c),
+a AS (SELECT final_result, floor(nt * n / total) AS base, nt * n / total - floor(nt * n / total) AS frac FROM c, t),
+r AS (SELECT final_result, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, final_result)
+                                     <= (SELECT nt FROM t) - (SELECT sum(base) FROM a) THEN 1 ELSE 0 END AS k FROM a),
+x AS (SELECT report_id, final_result,
+             row_number() OVER (PARTITION BY final_result ORDER BY {hash_u32_sql_('report_id', 42)}, report_id) AS rn
+      FROM m)
+SELECT x.report_id, x.final_result, x.rn <= r.k AS is_test FROM x JOIN r ON x.final_result = r.final_result"""
 
 _EMB = "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 9)) + \
        " FROM embeddings"

@@ -565,7 +565,7 @@ def q_ml_impute_init(spark, sf):
 @query("ml_split_stratified")
 def q_ml_split_stratified(spark, sf):
     m = _labelled_master(spark, sf).select("report_id", B.TARGET)
-    return PP.hash_split(m, "report_id", 0.1, seed=42)
+    return PP.stratified_split(m, "report_id", B.TARGET, 0.1, seed=42)
 
 
 EMB_DIMS = 8

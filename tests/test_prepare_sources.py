@@ -48,3 +48,17 @@ def test_columnar_json_and_stage_round_trip(spark):
     p2 = tempfile.mkdtemp(prefix="tessera-test-", dir="/tmp") + "/st"
     write_table(df, p2)
     assert read_stage_table(spark, p2).count() == 50
+
+
+def test_stratified_split_exact_counts(spark):
+    import math
+    from tessera.ml.prepare import stratified_split
+    rows = [(i, "pass" if i % 4 == 0 else "!pass") for i in range(5003)]
+    df = spark.createDataFrame(rows, "rid long, y string")
+    a = stratified_split(df.repartition(4), "rid", "y", 0.1, 7)
+    got = {r.y: r["count"] for r in a.where("is_test").groupBy("y").count().collect()}
+    n_test = math.ceil(0.1 * 5003)
+    assert sum(got.values()) == n_test
+    assert abs(got["pass"] - 0.25 * n_test) <= 1
+    b = stratified_split(df.repartition(7), "rid", "y", 0.1, 7)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
