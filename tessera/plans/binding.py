@@ -115,18 +115,25 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 class Tables:
-    """Lazy scans of the driver tables under one directory."""
+    """Lazy scans of the driver tables under one directory.
+
+    Scan DataFrames are shared by all queries of one session (a catalog of
+    lazy relations: no data is cached, only the file listing and schema).
+    """
+
+    _scans: dict = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-        self._cache: dict[str, DataFrame] = {}
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
-        if name not in self._cache:
-            self._cache[name] = read_table(self.spark, self.sf_dir, name)
-        return self._cache[name]
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        hit = Tables._scans.get(key)
+        if hit is None or hit[0] is not self.spark:
+            hit = Tables._scans[key] = (self.spark, read_table(self.spark, self.sf_dir, name))
+        return hit[1]
 
 
 def orders_view(t: Tables) -> DataFrame:
