@@ -675,10 +675,18 @@ def _balanced(spark, sf, seed=MODEL_SEED):
     return _memo(spark, ("balanced", sf, seed), build)
 
 
+def _model(spark, sf, seed=MODEL_SEED):
+    """The default-parameter boosted model of one seed's balanced training set."""
+    def build():
+        train, _, feats = _balanced(spark, sf, seed)
+        return TR.fit_boosted(train, feats, None, MODEL_ITER, seed)
+    return _memo(spark, ("model", sf, seed), build)
+
+
 @query("ml_boosted_fit")
 def q_ml_boosted_fit(spark, sf):
     train, test, feats = _balanced(spark, sf)
-    model = TR.fit_boosted(train, feats, None, MODEL_ITER, MODEL_SEED)
+    model = _model(spark, sf)
     scored = TR.p_pass(model.transform(TR.assemble(test, feats)))
     return rounded(scored.select("report_id", TR.truth_col().alias("truth"), "p_pass",
                                  E.threshold_label(F.col("p_pass"), MODEL_THRESHOLD).alias("prediction")))
@@ -686,24 +694,29 @@ def q_ml_boosted_fit(spark, sf):
 
 @query("ml_feature_importance")
 def q_ml_feature_importance(spark, sf):
-    train, _, feats = _balanced(spark, sf)
-    model = TR.fit_boosted(train, feats, None, MODEL_ITER, MODEL_SEED)
-    return rounded(TR.feature_importance(spark, model, feats))
+    _, _, feats = _balanced(spark, sf)
+    return rounded(TR.feature_importance(spark, _model(spark, sf), feats))
 
 
 @query("ml_pipeline_run")
 def q_ml_pipeline_run(spark, sf):
+    return rounded(_run(spark, sf, MODEL_SEED))
+
+
+def _run(spark, sf, seed: int) -> DataFrame:
     frame, feats = _frame(spark, sf)
-    return rounded(TR.pipeline_run(frame, "report_id", feats, MODEL_THRESHOLD,
-                                   None, MODEL_SEED, MODEL_ITER))
+    train, test, _ = _balanced(spark, sf, seed)
+    return TR.pipeline_run(frame, "report_id", feats, MODEL_THRESHOLD, None, seed, MODEL_ITER,
+                           balanced=(train, test), model=_model(spark, sf, seed))
 
 
 @query("ml_repeat_eval")
 def q_ml_repeat_eval(spark, sf):
-    frame, feats = _frame(spark, sf)
-    _, stats = TR.repeat_eval(frame, "report_id", feats, MODEL_THRESHOLD,
-                              REPEAT_RUNS, None, MODEL_ITER)
-    return rounded(stats)
+    runs = None
+    for seed in range(REPEAT_RUNS):
+        r = _run(spark, sf, seed)
+        runs = r if runs is None else runs.unionByName(r)
+    return rounded(E.run_stats(runs))
 
 
 @query("ml_grid_search")
