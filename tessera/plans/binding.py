@@ -141,7 +141,7 @@ def orders_view(t: Tables) -> DataFrame:
     return t.orders.select(
         F.col("o_orderkey").alias("report_id"),
         F.col("o_custkey").alias("client_id"),
-        F.to_date("o_orderdate").alias("report_date"),
+        F.col("o_orderdate").alias("report_date"),
         F.col("o_orderstatus").alias("product_name"),
         case_column(FINAL_RESULT_CASES, F.col("o_orderpriority")).alias("final_result"),
     )

@@ -35,7 +35,7 @@ def rules_sql(expr: str, rules, default) -> str:
 
 
 FINAL_SQL = B.case_sql(B.FINAL_RESULT_CASES, default="o_orderpriority")
-ORDERS_VIEW = (f"SELECT o_orderkey AS report_id, o_custkey AS client_id, CAST(o_orderdate AS DATE) AS report_date, "
+ORDERS_VIEW = (f"SELECT o_orderkey AS report_id, o_custkey AS client_id, o_orderdate AS report_date, "
                f"o_orderstatus AS product_name, {FINAL_SQL} AS final_result FROM orders")
 CLIENT_DIM = (f"SELECT c.c_custkey AS client_id, c.c_mktsegment AS client_std_name, "
               f"nullif(c.c_nationkey, {B.NULL_MANUFACTURER}) AS manu_id, n.n_name AS manu_add "
@@ -258,7 +258,8 @@ SQL["agg_null_rate"] = rnd(f"SELECT column_name, miss_rate FROM ({NULL_PROFILE})
 SQL["agg_missing_report"] = rnd(f"SELECT * FROM ({NULL_PROFILE}) p WHERE miss_rate > 0", ["miss_rate"])
 SQL["srt_desc"] = SQL["agg_missing_report"]
 _DT = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
-       "WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' ELSE column_type END")
+       "WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' "
+       "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END")
 SQL["agg_schema_profile"] = (f"SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, column_name, {_DT} AS dtype "
                              f"FROM (DESCRIBE {MASTER}) d")
 SQL["agg_class_distribution"] = (f"SELECT final_result, count(*) AS n FROM ({MASTER}) m "
