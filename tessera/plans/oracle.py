@@ -402,9 +402,10 @@ x AS (SELECT report_id, final_result,
       FROM m)
 SELECT x.report_id, x.final_result, x.rn <= r.k AS is_test FROM x JOIN r ON x.final_result = r.final_result"""
 
-_EMB = "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 9)) + \
+EMB_DIMS = 64
+_EMB = "SELECT vec_id, label, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, EMB_DIMS + 1)) + \
        " FROM embeddings"
-_D2 = " + ".join(f"(q.e{i} - p.e{i}) * (q.e{i} - p.e{i})" for i in range(1, 9))
+_D2 = " + ".join(f"(q.e{i} - p.e{i}) * (q.e{i} - p.e{i})" for i in range(1, EMB_DIMS + 1))
 _HARD = f"""
 WITH pt AS ({_EMB}), q AS (SELECT * FROM pt WHERE label < 3),
 nn AS (SELECT q.vec_id AS qid, p.label AS plabel,
@@ -432,7 +433,7 @@ s AS (SELECT vec_id AS qid, CAST(unnest(range(1, n_generate + 1)) AS BIGINT) AS
 pick AS (SELECT qid, j,
    CAST(floor({hash_unit_sql(f"({hash_u32_sql_('qid', _S1)} + j)", _S1 + 1)} * 5) AS INTEGER) + 1 AS rk,
    {hash_unit_sql(f"({hash_u32_sql_('qid', _S1 + 2)} + j)", _S1 + 3)} AS u FROM s)
-SELECT pick.qid AS vec_id, pick.j, """ + ", ".join(f"q.e{i} + pick.u * (p.e{i} - q.e{i}) AS e{i}" for i in range(1, 9)) + """
+SELECT pick.qid AS vec_id, pick.j, """ + ", ".join(f"q.e{i} + pick.u * (p.e{i} - q.e{i}) AS e{i}" for i in range(1, EMB_DIMS + 1)) + """
 FROM pick JOIN nn ON pick.qid = nn.qid AND pick.rk = nn.rk
 JOIN mn q ON q.vec_id = pick.qid JOIN mn p ON p.vec_id = nn.pid"""
-SQL["ml_adasyn_samples"] = rnd(_SAMPLES, [f"e{i}" for i in range(1, 9)])
+SQL["ml_adasyn_samples"] = rnd(_SAMPLES, [f"e{i}" for i in range(1, EMB_DIMS + 1)])

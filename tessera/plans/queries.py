@@ -568,7 +568,7 @@ def q_ml_split_stratified(spark, sf):
     return PP.stratified_split(m, "report_id", B.TARGET, 0.1, seed=42)
 
 
-EMB_DIMS = 8
+EMB_DIMS = 64   # the whole embedding vector
 EMB_COLS = [f"e{i}" for i in range(1, EMB_DIMS + 1)]
 MINORITY_LABEL_BELOW = 3
 ADASYN_K = 5
