@@ -719,17 +719,23 @@ def q_ml_repeat_eval(spark, sf):
     return rounded(E.run_stats(runs))
 
 
+def _grid(spark, sf):
+    def build():
+        train, _, feats = _balanced(spark, sf)
+        table, best = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+        return checkpoint(table), best
+    return _memo(spark, ("grid", sf), build)
+
+
 @query("ml_grid_search")
 def q_ml_grid_search(spark, sf):
-    train, _, feats = _balanced(spark, sf)
-    table, _ = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
-    return rounded(table)
+    return rounded(_grid(spark, sf)[0])
 
 
 @query("ml_cv_compare")
 def q_ml_cv_compare(spark, sf):
     train, _, feats = _balanced(spark, sf)
-    _, best = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+    best = _grid(spark, sf)[1]
     tuned = TR.cv_accuracy(train, "report_id", feats, best, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
     default = TR.cv_accuracy(train, "report_id", feats, None, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
     return rounded(spark.createDataFrame([("tuned", tuned), ("untuned", default)], "model string, cv_accuracy double"))
