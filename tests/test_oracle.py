@@ -11,11 +11,8 @@ from tessera.plans.queries import REGISTRY
 SF = "/root/testdata/sf0.001"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "labels", "documents",
           "embeddings"]
-FAST = ["master", "brg_el", "brg_visual", "brg_cert", "brg_inspector", "jn_country_lookup", "chk_unmatched_keys",
-        "jn_feature_cert", "jn_feature_vi1", "agg_count_pivot", "agg_indicator_drop_blank", "agg_collect_list",
-        "agg_missing_report", "agg_schema_profile", "rat_exploded", "rat_pt", "fn_rule_classify",
-        "fn_keyword_country", "ml_threshold_sweep", "ml_classification_report", "agg_run_stats", "agg_histogram",
-        "ml_dummies", "ml_impute_init", "ml_split_stratified", "ml_adasyn_samples", "src_columnar_json"]
+# every registered query that has an SQL oracle
+FAST = sorted(k for k in SQL if k in REGISTRY)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
