@@ -8,6 +8,21 @@ _ALNUM = f"regexp_extract_all({_LOWER}, '{ALNUM_BREAK_SQL}')"
 
 SQL: dict[str, str] = {}
 
+SQL["op2_substring_dedup"] = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD_BREAK_SQL}') AS w FROM documents),
+k AS (SELECT doc_id, p, array_to_string(w[p:p + 49], ' ') AS win
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)),
+f AS (SELECT win, min(doc_id) AS first_doc FROM k GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM k JOIN f USING (win) WHERE doc_id > first_doc),
+x AS (SELECT d.doc_id, q, word, r.doc_id IS NULL AS stays
+      FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d) d LEFT JOIN r USING (doc_id, q)),
+a AS (SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (stays) AS kept
+      FROM x GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN a USING (doc_id)
+"""
+
 SQL["op7_decontamination"] = f"""
 WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
 i AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),

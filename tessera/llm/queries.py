@@ -7,13 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, token_counts
+from tessera.llm import decontaminate, substring_dedup, token_counts
 from tessera.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 CONTEXT_TOKENS = 1024
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, budgets=(CONTEXT_TOKENS,), store=False)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"),
@@ -27,6 +32,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
 }
