@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from tessera.llm.common import ALNUM_BREAK_SQL, WORD_BREAK_SQL
+from tessera.llm.license_scan import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = f"regexp_extract_all({_LOWER}, '{ALNUM_BREAK_SQL}')"
@@ -42,3 +43,41 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+def _license_sql() -> str:
+    """Base phrases by position; template containment by counting shared distinct words of every block."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    phrases = ", ".join(f"({quote(p)}, {len(p.split())}, {quote(label)})" for p, label in PHRASES)
+    templates = ", ".join(f"({i}, {quote(label)}, {quote(text)})" for i, (label, text) in enumerate(TEMPLATES))
+    lower = _LOWER
+    return f"""
+WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
+p(phrase, n, label) AS (VALUES {phrases}),
+b AS (SELECT doc_id, q - 1 AS first_word, label
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS q FROM d WHERE list_contains(w, 'license')) JOIN p ON array_to_string(w[q:q + n - 1], ' ') = phrase),
+base AS (SELECT doc_id, count(*) AS n_base, min(first_word) AS first_word, max(first_word) AS last_word FROM b GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split({lower}, chr(10))) AS line FROM documents),
+lw AS (SELECT doc_id, row_number() OVER () AS line_no, regexp_extract_all(line, '{ALNUM_BREAK_SQL}') AS w FROM l),
+bl AS (SELECT doc_id, line_no, i, unnest(list_distinct(w[i + 1:i + {BLOCK_WORDS}])) AS word
+       FROM (SELECT doc_id, line_no, w, unnest(CASE WHEN len(w) <= {BLOCK_WORDS} THEN [0] ELSE range(0, len(w) - {BLOCK_WORDS - BLOCK_STEP}, {BLOCK_STEP}) END) AS i
+             FROM lw)),
+t(t, label, text) AS (VALUES {templates}),
+tw AS (SELECT t, label, unnest(list_distinct(regexp_extract_all({lower}, '{ALNUM_BREAK_SQL}'))) AS word FROM t),
+tn AS (SELECT t, label, count(*) AS size FROM tw GROUP BY t, label),
+m AS (SELECT doc_id, tn.label, count(*) / size AS containment
+      FROM bl JOIN tw USING (word) JOIN tn ON tn.t = tw.t
+      GROUP BY doc_id, line_no, i, tn.t, tn.label, size HAVING count(*) >= ceil({THRESHOLD} * size - 1e-9)),
+s AS (SELECT doc_id, max(containment) AS score FROM m GROUP BY doc_id),
+bn AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x FROM (SELECT DISTINCT doc_id, label FROM b) GROUP BY doc_id),
+mn AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x
+       FROM (SELECT doc_id, label FROM b UNION SELECT doc_id, label FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(bn.x, '') AS base_labels, coalesce(mn.x, '') AS labels,
+  CASE WHEN coalesce(n_base, 0) > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0.0::DOUBLE) END AS score
+FROM d LEFT JOIN base USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN bn USING (doc_id) LEFT JOIN mn USING (doc_id)
+"""
+
+
+SQL["op5_license_scan"] = _license_sql()

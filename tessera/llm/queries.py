@@ -7,11 +7,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, substring_dedup, token_counts
+from tessera.llm import decontaminate, license_scan, substring_dedup, token_counts, toxicity
 from tessera.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 CONTEXT_TOKENS = 1024
+TOXIC_FROM = 0.7
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", F.coalesce(toxicity.is_held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +28,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+                        F.array_min("base.first_word").alias("first_word"), F.array_max("base.first_word").alias("last_word"),
+                        F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
+                        F.array_join(F.array_sort(F.array_union("base.label", "blocks.label")), ",").alias("labels"),
+                        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.prefix_token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, budgets=(CONTEXT_TOKENS,), store=False)
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"),
@@ -32,7 +50,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
+    "op5_license_scan": op5_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
 }
