@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from tessera.llm.common import ALNUM_BREAK_SQL, WORD_BREAK_SQL
+from tessera.llm.queries import MIX_SEED, MIX_WEIGHTS
 from tessera.llm.license_scan import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -81,3 +82,39 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN bn USI
 
 
 SQL["op5_license_scan"] = _license_sql()
+
+SQL["op9_exact_dedup"] = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) AS r
+           FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, r = 1 AS kept, sha256(text) AS text_sha256 FROM t JOIN g USING (text)
+"""
+
+
+def mix_sql(source: str, weights: dict[str, float], seed: int) -> str:
+    """(doc_id, copies) and the copies' order keys of the Poisson replication over a table or query `source`;
+    means up to 256 (larger ones are drawn in parts)."""
+    listed = ", ".join(f"('{s}', {float(w)}::DOUBLE)" for s, w in weights.items())
+    bits = lambda text, digits: f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
+    doc = "coalesce(CAST(doc_id AS VARCHAR), 'null')"
+    return f"""
+WITH RECURSIVE src AS (SELECT * FROM {source}),
+w(source, weight) AS (VALUES {listed}),
+n AS (SELECT source, count(*) AS n, any_value(weight) AS weight FROM src JOIN w USING (source) GROUP BY source),
+rate AS (SELECT source, weight / sum(weight) OVER () * sum(n) OVER () / n AS mean FROM n),
+cdf AS (
+  SELECT source, mean, 0 AS k, exp(-mean) AS term, exp(-mean) AS total FROM rate
+  UNION ALL SELECT source, mean, k + 1, term * mean / (k + 1), total + term * mean / (k + 1) FROM cdf WHERE k < mean + 60),
+table_ AS (SELECT source, list(total ORDER BY k) AS p FROM (SELECT * FROM cdf UNION ALL BY NAME
+  (WITH RECURSIVE one AS (SELECT 0 AS k, exp(-1.0::DOUBLE) AS term, exp(-1.0::DOUBLE) AS total
+     UNION ALL SELECT k + 1, term / (k + 1), total + term / (k + 1) FROM one WHERE k < 60) SELECT '<rest>' AS source, k, term, total FROM one)) GROUP BY source),
+drawn AS (
+  SELECT src.*, len(list_filter(p, lambda x: x <= {bits(f"'{seed}:' || {doc} || ':1'", 13)} / 4503599627370496.0::DOUBLE)) AS copies
+  FROM src JOIN table_ t ON t.source = CASE WHEN src.source IN (SELECT source FROM n) THEN src.source ELSE '<rest>' END)
+SELECT * REPLACE (CAST(copies AS INTEGER) AS copies, CAST(copy AS INTEGER) AS copy),
+  {bits(f"'{seed}-order:' || {doc} || ':' || copy", 15)} AS shuffle_key
+FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)
+"""
+
+
+SQL["op3_mixing"] = f"SELECT doc_id, source, copy, copies, shuffle_key, text FROM ({mix_sql('documents', MIX_WEIGHTS, MIX_SEED)})"

@@ -7,12 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontaminate, license_scan, substring_dedup, token_counts, toxicity
+from tessera.llm import (decontaminate, exact_dedup, license_scan, mixing, substring_dedup, token_counts, toxicity,
+                         training_order)
 from tessera.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 CONTEXT_TOKENS = 1024
 TOXIC_FROM = 0.7
+#: Target shares of the sources: the crawl that fills a third of the corpus counts as two of the others.
+MIX_WEIGHTS = {"src0": 2.0, **{f"src{i}": 1.0 for i in range(1, 20)}}
+MIX_SEED = 17
+ORDER_KEY = 0x7E55E2A
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +33,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED).select("doc_id", "source", "copy", "copies", "shuffle_key", "text")
+
+
+def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = training_order.training_order(table(spark, sf_dir, "documents"), BYTE_BPE, ORDER_KEY)
+    return ordered.select("slot", "shard", "row", "doc_id", "seq_no", "n_tokens", F.sha2("record", 256).alias("record_sha256"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
@@ -49,10 +64,17 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_mixing": op3_mixing,
+    "op4_training_order": op4_training_order,
     "op5_license_scan": op5_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
+    "op9_exact_dedup": op9_exact_dedup,
 }
