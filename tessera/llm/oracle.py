@@ -83,6 +83,20 @@ FROM d LEFT JOIN base USING (doc_id) LEFT JOIN s USING (doc_id) LEFT JOIN bn USI
 
 SQL["op5_license_scan"] = _license_sql()
 
+SQL["op8_near_dedup"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{WORD_BREAK_SQL}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM i JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 75 * (na.n + nb.n - k)),
+u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r(v, c) AS (SELECT doc_id, doc_id FROM documents UNION SELECT u.b, r.c FROM r JOIN u ON u.a = r.v),
+c AS (SELECT v, min(c) AS component_id FROM r GROUP BY v)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.v = d.doc_id
+"""
+
 SQL["op9_exact_dedup"] = """
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) AS r
            FROM documents),

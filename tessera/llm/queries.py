@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontaminate, exact_dedup, license_scan, mixing, substring_dedup, token_counts, toxicity,
+from tessera.llm import (decontaminate, exact_dedup, license_scan, mixing, near_dedup, substring_dedup, token_counts, toxicity,
                          training_order)
 from tessera.llm.common import table
 
@@ -64,6 +64,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -76,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_license_scan": op5_license_scan,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
+    "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
 }
