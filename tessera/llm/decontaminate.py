@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.common import ALNUM_LOWER, id_text
 
@@ -93,18 +94,45 @@ def _spans(raw: bytes, words: np.ndarray) -> list[dict]:
     return [{"start": int(chars[starts[a]] - 1), "end": int(chars[ends[b] - 1])} for a, b in zip(first, last)]
 
 
+def _shared_patterns(docs: DataFrame, benchmark: DataFrame, window: int, item_col: str, item_text_col: str, max_benchmark_chars: int):
+    """The benchmark's windows as a broadcast of checked size."""
+    items = id_text(benchmark, item_col, item_text_col).where("text is not null")
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    if size > max_benchmark_chars:
+        raise ValueError(f"benchmark of {size} characters; the bound is {max_benchmark_chars}")
+    patterns = sorted(_windows([(r.doc_id, r.text.encode()) for r in items.collect()], window).items())
+    return docs.sparkSession.sparkContext.broadcast(patterns)
+
+
+def _line(words: list[bytes]) -> str:
+    return (b" " + b" ".join(words) + b" ").decode("utf-8", "surrogateescape")
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, text_col: str = "text", item_col: str = "item_id",
+                   item_text_col: str = "text", block_chars: int = 4_000_000, max_benchmark_chars: int = 256_000_000) -> DataFrame:
+    """The rows of `docs`, all columns, without any benchmark window."""
+    shared = _shared_patterns(docs, benchmark, window, item_col, item_text_col, max_benchmark_chars)
+    rows = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_col].cast("string").alias("text"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = _Scanner(shared.value, block_chars)
+        for batch in batches:
+            lines = [_line(normal_words(raw or b"")) for raw in batch.column("text").cast(pa.binary()).to_pylist()]
+            clean = list(range(len(lines)))
+            for block in range(len(scanner.blocks)):
+                clean = [k for k in clean if not scanner.matches(block, lines[k])]
+            yield pa.RecordBatch.from_arrays([batch.column("row").take(pa.array(clean, pa.int64()))], names=["row"])
+
+    return rows.mapInArrow(scan, T.StructType([rows.schema["row"]])).select("row.*")
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                    spans: bool = True, block_chars: int = 4_000_000, max_benchmark_chars: int = 256_000_000) -> DataFrame:
     """One row for each document: doc_id, n_words, n_hit, item_ids (sorted as
     strings), items_sha256 and, with `spans`, the [start, end) character spans
     of the original text that are hit."""
-    items = id_text(benchmark, item_col, item_text_col).where("text is not null")
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    if size > max_benchmark_chars:
-        raise ValueError(f"benchmark of {size} characters; the bound is {max_benchmark_chars}")
-    patterns = sorted(_windows([(r.doc_id, r.text.encode()) for r in items.collect()], window).items())
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+    shared = _shared_patterns(docs, benchmark, window, item_col, item_text_col, max_benchmark_chars)
     fields = [pa.field("doc_id", pa.int64()), pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()),
               pa.field("item_ids", pa.list_(pa.int64())), pa.field("items_sha256", pa.string())]
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -123,7 +151,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                 for k, ws in enumerate(words):
                     if not ws:
                         continue
-                    line = (b" " + b" ".join(ws) + b" ").decode("utf-8", "surrogateescape")
+                    line = _line(ws)
                     matches = scanner.matches(block, line)
                     if matches:
                         ids, hit = found.setdefault(k, (set(), []))

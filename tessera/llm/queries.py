@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import (decontaminate, exact_dedup, license_scan, mixing, near_dedup, substring_dedup, token_counts, toxicity,
-                         training_order)
+from tessera.llm import (decontaminate, exact_dedup, license_scan, mixing, near_dedup, pii, substring_dedup, token_counts,
+                         toxicity, training_order)
 from tessera.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,7 @@ TOXIC_FROM = 0.7
 #: Target shares of the sources: the crawl that fills a third of the corpus counts as two of the others.
 MIX_WEIGHTS = {"src0": 2.0, **{f"src{i}": 1.0 for i in range(1, 20)}}
 MIX_SEED = 17
+PII_KEY = b"tessera surrogate key 1"
 ORDER_KEY = 0x7E55E2A
 
 
@@ -72,6 +73,12 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace_entities(table(spark, sf_dir, "documents"), PII_KEY)
+    return replaced.select("doc_id", F.size("entities").cast("long").alias("n_entities"),
+                           F.array_join(F.array_sort(F.array_distinct("entities.kind")), ",").alias("kinds"), "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
@@ -82,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_decontamination": op7_decontamination,
     "op8_near_dedup": op8_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_pii": op10_pii,
 }
