@@ -398,7 +398,7 @@ a AS (SELECT final_result, floor(nt * n / total) AS base, nt * n / total - floor
 r AS (SELECT final_result, base + CASE WHEN row_number() OVER (ORDER BY frac DESC, final_result)
                                      <= (SELECT nt FROM t) - (SELECT sum(base) FROM a) THEN 1 ELSE 0 END AS k FROM a),
 x AS (SELECT report_id, final_result,
-             row_number() OVER (PARTITION BY final_result ORDER BY {hash_u32_sql_('report_id', 42)}, report_id) AS rn
+             row_number() OVER (PARTITION BY final_result ORDER BY {hash_u32_sql_('report_id', 42, 'split')}, report_id) AS rn
       FROM m)
 SELECT x.report_id, x.final_result, x.rn <= r.k AS is_test FROM x JOIN r ON x.final_result = r.final_result"""
 
@@ -431,8 +431,8 @@ nn AS (SELECT q.vec_id AS qid, p.vec_id AS pid,
 g AS ({_HARD}),
 s AS (SELECT vec_id AS qid, CAST(unnest(range(1, n_generate + 1)) AS BIGINT) AS j FROM g WHERE n_generate > 0),
 pick AS (SELECT qid, j,
-   CAST(floor({hash_unit_sql(f"({hash_u32_sql_('qid', _S1)} + j)", _S1 + 1)} * 5) AS INTEGER) + 1 AS rk,
-   {hash_unit_sql(f"({hash_u32_sql_('qid', _S1 + 2)} + j)", _S1 + 3)} AS u FROM s)
+   CAST(floor({hash_unit_sql(['qid', 'j'], _S1, 'adasyn-neighbour')} * 5) AS INTEGER) + 1 AS rk,
+   {hash_unit_sql(['qid', 'j'], _S1, 'adasyn-u')} AS u FROM s)
 SELECT pick.qid AS vec_id, pick.j, """ + ", ".join(f"q.e{i} + pick.u * (p.e{i} - q.e{i}) AS e{i}" for i in range(1, EMB_DIMS + 1)) + """
 FROM pick JOIN nn ON pick.qid = nn.qid AND pick.rk = nn.rk
 JOIN mn q ON q.vec_id = pick.qid JOIN mn p ON p.vec_id = nn.pid"""

@@ -2,7 +2,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tessera.ml.prepare import dummies, hash_split, impute_initial, label_encode
+from tessera.ml.prepare import dummies, impute_initial, label_encode, stratified_folds, stratified_split
 from tessera.sources.columnar_json import read_columnar_json, write_columnar_json
 from tessera.sources.stage import read_stage_table, write_table
 
@@ -29,13 +29,31 @@ def test_impute_initial_mode_tie_smallest_and_observed_kept(spark):
     assert rows[1].x == 1.0 and rows[1].s == "b" and rows[2].x__was_null and not rows[1].x__was_null
 
 
-def test_hash_split_disjoint_complete_deterministic(spark):
-    df = spark.range(0, 5000).withColumnRenamed("id", "rid")
-    a = hash_split(df.repartition(3), "rid", 0.1, 42)
-    b = hash_split(df.repartition(9), "rid", 0.1, 42)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    n = a.where("is_test").count()
-    assert 350 < n < 650 and a.count() == 5000
+def test_spelling_variants_stay_separate_dummies(spark):
+    df = spark.createDataFrame([(1, "mono c-Si"), (2, "mono c Si"), (3, "Mono c-Si")], "id long, t string")
+    out, _ = dummies(df, ["t"])
+    assert len(out.columns) == 4 and all(sum(r[1:]) == 1 for r in out.collect())
+    assert len({tuple(r[1:]) for r in out.collect()}) == 3
+
+
+def test_folds_are_equal_in_each_class_and_independent_of_the_split(spark):
+    df = spark.createDataFrame([(i, "a" if i % 5 else "b") for i in range(5000)], "rid long, y string")
+    split = stratified_split(df, "rid", "y", 0.1, 3)
+    train = split.where("not is_test")
+    for frame in (train, train.repartition(5)):
+        sizes = {(r.y, r.fold): r["count"] for r in stratified_folds(frame, ["rid"], "y", 6, 3).groupBy("y", "fold").count().collect()}
+        assert len(sizes) == 12
+        for y, n in (("a", 3600), ("b", 900)):
+            assert all(abs(sizes[y, f] - n / 6) <= 1 for f in range(6))
+    few = stratified_folds(df.limit(7), ["rid"], "y", 6, 3)
+    assert few.where("fold is null or fold not between 0 and 5").count() == 0
+
+
+def test_test_sets_of_different_seeds_overlap_like_independent_draws(spark):
+    df = spark.createDataFrame([(i, "a" if i % 4 else "b") for i in range(15000)], "rid long, y string")
+    tests = [{r.rid for r in stratified_split(df, "rid", "y", 0.1, s).where("is_test").collect()} for s in range(3)]
+    for i in range(3):
+        assert len(tests[i]) == 1500 and 100 < len(tests[i] & tests[i - 1]) < 200
 
 
 def test_columnar_json_and_stage_round_trip(spark):
