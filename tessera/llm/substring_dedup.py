@@ -9,8 +9,9 @@
    steps and positions in byte planes), about nine bytes a window.
 2. Count: one task for each hash range finds the hashes that start in several
    documents and reports every occurrence outside the smallest document.
-3. The positions come back to their document, overlapping windows merge into
-   maximal removal intervals, and the covered words are removed.
+3. The positions come back packed by groups of documents, where overlapping
+   windows merge into maximal removal intervals, one row a document; joined with
+   their document, the covered words are removed.
 
 Ranges are sized from the corpus (about two million windows each), so a task's
 memory does not grow with the data.  Two different windows share a hash with
@@ -144,8 +145,9 @@ def _map_chunks(window: int, buckets: int, chunk_words: int):
     return run
 
 
-def _count_range(entries: pd.DataFrame) -> pd.DataFrame:
-    """Occurrences, in one hash range, of windows that also start in a smaller document."""
+def _count_range(entries: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Occurrences, in one hash range, of windows that also start in a smaller document: one row for each of
+    `parts` groups of documents."""
     hashes, owners, at, refs, known, known_refs = [], [], [], [], [], []
     docs, tags, base = [], [], 0
     for row in entries.itertuples(index=False):
@@ -172,12 +174,35 @@ def _count_range(entries: pd.DataFrame) -> pd.DataFrame:
     at = np.concatenate([np.concatenate(at)[hit], *known])
     refs = np.concatenate([np.concatenate(refs)[hit], *known_refs])
     docs, tags = np.concatenate(docs), np.concatenate(tags)
-    order = np.lexsort((at, refs))
-    at, refs = at[order].astype("<u4"), refs[order]
-    first = np.flatnonzero(np.r_[True, refs[1:] != refs[:-1]]) if len(refs) else np.zeros(0, np.int64)
-    ends = np.r_[first[1:], len(refs)] if len(refs) else first
-    return pd.DataFrame({"doc_id": docs[refs[first]], "tag": tags[refs[first]],
-                         "starts": [at[a:b].tobytes() for a, b in zip(first, ends)]})
+    part = ((docs.view(np.uint64) * _MIX ^ tags.view(np.uint64)) % np.uint64(parts)).astype(np.int32)[refs]
+    order = np.lexsort((at, refs, part))
+    at, refs, part = at[order].astype(np.uint32), refs[order], part[order]
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else np.zeros(0, np.int64)
+    rows = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        used, counts = np.unique(refs[a:b], return_counts=True)
+        rows.append((part[a], _planes(docs[used]), _planes(tags[used]), _planes(counts.astype(np.uint32)), _planes(at[a:b])))
+    return pd.DataFrame(rows, columns=["part", "docs", "tags", "counts", "at"])
+
+
+def _merge_part(window: int):
+    """Maximal removal intervals of a group's documents, one row a document."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        docs, tags, at = [], [], []
+        for row in rows.itertuples(index=False):
+            counts = _unplanes(row.counts, np.uint32)
+            docs.append(np.repeat(_unplanes(row.docs, np.int64), counts))
+            tags.append(np.repeat(_unplanes(row.tags, np.int64), counts))
+            at.append(_unplanes(row.at, np.uint32))
+        docs, tags, at = map(np.concatenate, (docs, tags, at))
+        order = np.lexsort((at, tags, docs))
+        docs, tags, at = docs[order], tags[order], at[order]
+        first = np.flatnonzero(np.r_[True, (docs[1:] != docs[:-1]) | (tags[1:] != tags[:-1])])
+        spans = [intervals(at[a:b], window) for a, b in zip(first, np.r_[first[1:], len(at)])]
+        return pd.DataFrame({"doc_id": docs[first], "tag": tags[first], "begins": [a for a, _ in spans], "ends": [b for _, b in spans]})
+
+    return run
 
 
 def intervals(starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -203,8 +228,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     rows = rows.withColumn("tag", F.xxhash64("text") if repeated_ids else F.lit(0).cast("long"))
     entries = rows.where("doc_id is not null and text is not null").mapInArrow(_map_chunks(window, buckets, chunk_words), _ENTRIES)
     found = (entries.repartition(buckets, "bucket").groupBy("bucket")
-             .applyInPandas(_count_range, "doc_id long, tag long, starts binary"))
-    found = found.groupBy("doc_id", "tag").agg(F.collect_list("starts").alias("starts"))
+             .applyInPandas(lambda rows: _count_range(rows, buckets), "part int, docs binary, tags binary, counts binary, at binary"))
+    found = (found.repartition(buckets, "part").groupBy("part")
+             .applyInPandas(_merge_part(window), "doc_id long, tag long, begins array<long>, ends array<long>"))
     fields = [pa.field("doc_id", pa.int64()), pa.field("n_words", pa.int64()), pa.field("n_removed", pa.int64()),
               pa.field("removed", pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))),
               pa.field("kept_sha256", pa.string())] + ([pa.field("kept_text", pa.string())] if texts else [])
@@ -213,19 +239,19 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in fields[1:]]
-            for raw, starts in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("starts").to_pylist()):
-                words = (raw or b"").split()
-                begins, ends = intervals(np.frombuffer(b"".join(starts), "<u4"), window) if starts else ((), ())
+            columns = (batch.column("text").cast(pa.binary()), batch.column("begins"), batch.column("ends"))
+            for raw, begins, ends in zip(*(c.to_pylist() for c in columns)):
+                words, begins, ends = (raw or b"").split(), begins or (), ends or ()
                 kept, at = [], 0
                 for a, b in zip(begins, ends):
                     kept += words[at:a]
                     at = b
                 kept += words[at:]
                 line = b" ".join(kept)
-                for column, value in zip(out, (len(words), len(words) - len(kept), [{"begin": int(a), "end": int(b)} for a, b in zip(begins, ends)],
+                for column, value in zip(out, (len(words), len(words) - len(kept), [{"begin": a, "end": b} for a, b in zip(begins, ends)],
                                                hashlib.sha256(line).hexdigest(), line.decode())):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(out, fields[1:]))], schema=schema)
 
     ddl = "doc_id long, n_words long, n_removed long, removed array<struct<begin: long, end: long>>, kept_sha256 string" + (", kept_text string" if texts else "")
-    return rows.join(found, ["doc_id", "tag"], "left").select("doc_id", "text", "starts").mapInArrow(finish, ddl)
+    return rows.join(found, ["doc_id", "tag"], "left").select("doc_id", "text", "begins", "ends").mapInArrow(finish, ddl)
