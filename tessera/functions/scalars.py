@@ -69,15 +69,19 @@ def rule_classify(col: str | Column, rules: Sequence[tuple[Sequence[str], str]],
     (lower-cased) text gives the outcome; otherwise ``default``.  Null in ->
     null out.  Substring semantics on purpose ("not" matches inside "noted")."""
     c = _c(col).cast(T.StringType())
-    text = F.lower(c) if lower else c
-    out = F.when(c.isNull(), F.lit(None).cast(T.StringType()))
-    for keywords, outcome in rules:
-        cond = None
-        for k in keywords:
-            hit = text.contains(k)
-            cond = hit if cond is None else (cond | hit)
-        out = out.when(cond, F.lit(outcome))
-    return out.otherwise(F.lit(default).cast(T.StringType()))
+
+    def classify(text: Column) -> Column:
+        out = F.when(text.isNull(), F.lit(None).cast(T.StringType()))
+        for keywords, outcome in rules:
+            cond = None
+            for k in keywords:
+                hit = text.contains(k)
+                cond = hit if cond is None else (cond | hit)
+            out = out.when(cond, F.lit(outcome))
+        return out.otherwise(F.lit(default).cast(T.StringType()))
+
+    # the lambda variable binds the lower-cased text once, not once a keyword
+    return F.transform(F.array(F.lower(c) if lower else c), classify)[0]
 
 
 def classify_target(col: str | Column) -> Column:

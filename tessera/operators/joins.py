@@ -14,11 +14,9 @@ from pyspark.sql import functions as F
 
 
 def dim_join(master: DataFrame, dim: DataFrame, master_key: str, dim_key: str,
-             keep: Sequence[str], bounded_dim: bool = False) -> DataFrame:
+             keep: Sequence[str]) -> DataFrame:
     """``master LEFT JOIN dim``; keep ``keep`` from the dimension, drop its key."""
     right = dim.select(F.col(dim_key).alias("__dk"), *keep)
-    if bounded_dim:
-        right = F.broadcast(right)
     return master.join(right, master[master_key] == right["__dk"], "left").drop("__dk")
 
 
@@ -41,24 +39,19 @@ def first_per_key(lookup: DataFrame, key: str, value: str, order: str) -> DataFr
 
 
 def lookup_replace(master: DataFrame, lookup: DataFrame, master_key: str, lookup_key: str,
-                   lookup_value: str, target: str, bounded: bool = False) -> DataFrame:
+                   lookup_value: str, target: str) -> DataFrame:
     """Rows with a non-null ``master_key`` take the looked-up value in
     ``target``; rows with a null key keep their raw ``target`` value.  A
     non-null key without a lookup row yields null (see ``unmatched_keys``)."""
     right = lookup.select(F.col(lookup_key).alias("__lk"), F.col(lookup_value).alias("__lv"))
-    if bounded:
-        right = F.broadcast(right)
     out = master.join(right, master[master_key] == right["__lk"], "left")
     return out.withColumn(target, F.when(F.col(master_key).isNull(), F.col(target))
                           .otherwise(F.col("__lv"))).drop("__lk", "__lv")
 
 
-def unmatched_keys(master: DataFrame, lookup: DataFrame, master_key: str, lookup_key: str,
-                   bounded: bool = False) -> DataFrame:
+def unmatched_keys(master: DataFrame, lookup: DataFrame, master_key: str, lookup_key: str) -> DataFrame:
     """Non-null keys of ``master`` with no lookup row, with their row counts."""
     right = lookup.select(F.col(lookup_key).alias("__lk")).distinct()
-    if bounded:
-        right = F.broadcast(right)
     miss = master.where(F.col(master_key).isNotNull()).join(
         right, F.col(master_key) == F.col("__lk"), "left_anti")
     return miss.groupBy(master_key).agg(F.count(F.lit(1)).alias("n_rows"))

@@ -16,9 +16,8 @@ def null_profile(df: DataFrame) -> DataFrame:
     aggs = [F.sum(F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)).cast("long").alias(f"c{i}")
             for i, c in enumerate(cols)]
     wide = df.agg(F.count(F.lit(1)).alias("__n"), *aggs)
-    stack = "stack({}, {}) as (column_name, miss_num)".format(
-        len(cols), ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols)))
-    long = wide.selectExpr("__n", stack)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("miss_num")) for i, c in enumerate(cols)])
+    long = wide.select("__n", F.inline(pairs))
     return long.select("column_name", "miss_num",
                        (F.col("miss_num").cast("double") / F.col("__n").cast("double")).alias("miss_rate"))
 

@@ -36,7 +36,7 @@ from tessera.sources.tables import read_table
 LIST_MAJ_MIN = "['Major', 'Minor']"
 
 # (SQL condition, value) pairs; the first true condition wins; else null.
-# Every encoding is null when the line has no (restricted) part row.
+# Every encoding is null when the line has no part row.
 NO_DIM = "p_partkey IS NULL"
 RESULTS: dict[str, list[tuple[str, str | None]]] = {
     "el": [
@@ -77,7 +77,8 @@ FINAL_RESULT_CASES = [
     ("o_orderpriority = '3-MEDIUM'", "Pass with remarks"),
 ]
 NULL_MANUFACTURER = 7
-PART_MIN_SIZE = 5
+# Bridge rows without a dimension row: lines whose part key is read as null.
+PART_KEY_SQL = "CASE WHEN l_linenumber = 6 THEN NULL ELSE l_partkey END"
 
 # Category buckets of the service feature (the reference merges look-alike services).
 SERVICE_BUCKETS = {"ECONOMY/STANDARD": ["ECONOMY", "STANDARD"], "PROMO/LARGE": ["PROMO", "LARGE"]}
@@ -164,20 +165,17 @@ def manufacturer_dim(t: Tables) -> DataFrame:
 
 
 def address_lookup(t: Tables) -> DataFrame:
-    """(manu_id, country, _order): the address sheet, in file order."""
-    n = t.nation.select("n_nationkey", "n_regionkey")
-    r = F.broadcast(t.region.select("r_regionkey", "r_name"))
-    return (n.join(r, n["n_regionkey"] == r["r_regionkey"], "left")
-            .select(F.col("n_nationkey").alias("manu_id"), F.col("r_name").alias("country"),
-                    F.col("n_nationkey").cast("long").alias("_order")))
+    """(manu_id, country, _order): the address sheet, in file order.  One row a supplier, so a
+    manufacturer has many rows with different countries and the first one counts."""
+    s = t.supplier.select("s_suppkey", "s_nationkey")
+    r = t.region.select("r_regionkey", "r_name")
+    return (s.join(r, F.pmod(s["s_suppkey"], F.lit(5)) == r["r_regionkey"], "left")
+            .select(F.col("s_nationkey").alias("manu_id"), F.col("r_name").alias("country"),
+                    F.col("s_suppkey").cast("long").alias("_order")))
 
 
-def restricted_part(t: Tables) -> DataFrame:
-    return t.part.where(F.col("p_size") > PART_MIN_SIZE).select("p_partkey", "p_type")
-
-
-def line_bridge(t: Tables, with_supplier: bool = True) -> DataFrame:
-    """lineitem LEFT JOIN part' [LEFT JOIN supplier x nation x region]: the
+def line_bridge(t: Tables, with_supplier: bool = True, with_part: bool = True) -> DataFrame:
+    """lineitem [LEFT JOIN part] [LEFT JOIN supplier x nation x region]: the
     shared bridge of every test / service / technology / inspector feature.
 
     part and supplier grow with the data, so no broadcast hint: AQE broadcasts
@@ -186,8 +184,10 @@ def line_bridge(t: Tables, with_supplier: bool = True) -> DataFrame:
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_returnflag", "l_linestatus")
-    p = restricted_part(t)
-    out = li.join(p, li["l_partkey"] == p["p_partkey"], "left")
+    out = li
+    if with_part:
+        p = t.part.select("p_partkey", "p_type")
+        out = li.withColumn("__pk", F.expr(PART_KEY_SQL)).join(p, F.col("__pk") == p["p_partkey"], "left").drop("__pk")
     if with_supplier:
         s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
         geo = F.broadcast(t.nation.select("n_nationkey", "n_regionkey")
@@ -199,14 +199,16 @@ def line_bridge(t: Tables, with_supplier: bool = True) -> DataFrame:
 
 
 SUPPLIER_COLUMNS = ("insp_region", "s_name")
+LINE_COLUMNS = (None, *SUPPLIER_COLUMNS)   # spec values that need no part row
 
 
 def with_results(bridge: DataFrame) -> DataFrame:
     """Add the encoded result columns and the phase to a line bridge."""
-    cols = {f"{k}_result": case_column(v) for k, v in RESULTS.items()}
-    cols["phase"] = F.expr(PHASE_SQL)
-    cols["service"] = F.col("p_type")
-    cols["technology"] = F.expr(TECH_SQL)
+    cols = {"phase": F.expr(PHASE_SQL)}
+    if "p_partkey" in bridge.columns:
+        cols.update({f"{k}_result": case_column(v) for k, v in RESULTS.items()})
+        cols["service"] = F.col("p_type")
+        cols["technology"] = F.expr(TECH_SQL)
     return bridge.withColumns(cols)
 
 

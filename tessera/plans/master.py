@@ -27,17 +27,18 @@ def report_base(t: B.Tables) -> DataFrame:
     address replaced by the looked-up country (raw text kept for a null id)."""
     rep = dim_join(B.orders_view(t), B.client_dim(t), "client_id", "client_id",
                    ["client_std_name", "manu_id", "manu_add"])
-    rep = dim_join(rep, B.manufacturer_dim(t), "manu_id", "manu_id", ["manu_std_name"], bounded_dim=True)
+    rep = dim_join(rep, B.manufacturer_dim(t), "manu_id", "manu_id", ["manu_std_name"])
     lookup = first_per_key(B.address_lookup(t), "manu_id", "country", "_order")
-    return lookup_replace(rep, lookup, "manu_id", "manu_id", "country", "manu_add", bounded=True)
+    return lookup_replace(rep, lookup, "manu_id", "manu_id", "country", "manu_add")
 
 
 def feature_sources(t: B.Tables, specs: Sequence[FeatureSpec] | None = None) -> dict[str, tuple[DataFrame, str]]:
-    """The line bridge; the supplier side is joined only when a spec reads it
+    """The line bridge; the part and supplier sides are joined only when a spec reads them
     (Catalyst prunes unused columns but keeps an unused outer join)."""
     specs = list(specs if specs is not None else B.feature_specs())
     supplier = any(s.value in B.SUPPLIER_COLUMNS for s in specs)
-    return {"lines": (B.with_results(B.line_bridge(t, with_supplier=supplier)), "l_orderkey")}
+    part = any(s.value not in B.LINE_COLUMNS for s in specs)
+    return {"lines": (B.with_results(B.line_bridge(t, with_supplier=supplier, with_part=part)), "l_orderkey")}
 
 
 def build_master(t: B.Tables, specs: Sequence[FeatureSpec] | None = None,

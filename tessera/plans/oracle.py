@@ -40,8 +40,10 @@ ORDERS_VIEW = (f"SELECT o_orderkey AS report_id, o_custkey AS client_id, o_order
 CLIENT_DIM = (f"SELECT c.c_custkey AS client_id, c.c_mktsegment AS client_std_name, "
               f"nullif(c.c_nationkey, {B.NULL_MANUFACTURER}) AS manu_id, n.n_name AS manu_add "
               f"FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey")
-LOOKUP = ("SELECT n.n_nationkey AS manu_id, r.r_name AS country FROM nation n "
-          "LEFT JOIN region r ON n.n_regionkey = r.r_regionkey")
+SHEET = ("SELECT s.s_nationkey AS manu_id, r.r_name AS country, CAST(s.s_suppkey AS BIGINT) AS _order FROM supplier s "
+         "LEFT JOIN region r ON s.s_suppkey % 5 = r.r_regionkey")
+LOOKUP = (f"SELECT manu_id, country FROM (SELECT *, row_number() OVER (PARTITION BY manu_id ORDER BY _order) AS first "
+          f"FROM ({SHEET}) s) f WHERE first = 1")
 REPORT_BASE = f"""
 SELECT o.report_id, o.report_date, o.product_name, o.final_result, o.client_id, c.client_std_name, c.manu_id,
        mn.n_name AS manu_std_name,
@@ -51,13 +53,13 @@ LEFT JOIN ({CLIENT_DIM}) c ON o.client_id = c.client_id
 LEFT JOIN nation mn ON c.manu_id = mn.n_nationkey
 LEFT JOIN ({LOOKUP}) lk ON c.manu_id = lk.manu_id"""
 
-PART_R = f"(SELECT p_partkey, p_type FROM part WHERE p_size > {B.PART_MIN_SIZE})"
+PART_R = "(SELECT p_partkey, p_type FROM part)"
 GEO = "(SELECT n.n_nationkey, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)"
 LINES = f"""
 SELECT l.l_orderkey AS report_id, l.l_linenumber, l.l_returnflag, l.l_linestatus, l.l_partkey, l.l_suppkey,
        p.p_partkey, p.p_type, g.r_name AS insp_region
 FROM lineitem l
-LEFT JOIN {PART_R} p ON l.l_partkey = p.p_partkey
+LEFT JOIN {PART_R} p ON ({B.PART_KEY_SQL}) = p.p_partkey
 LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
 LEFT JOIN {GEO} g ON s.s_nationkey = g.n_nationkey"""
 ENC = (f"SELECT *, " + ", ".join(f"{B.case_sql(v)} AS {k}_result" for k, v in B.RESULTS.items())
@@ -150,18 +152,19 @@ def null_profile_sql(src: str, cols: list[str]) -> str:
 
 
 NULL_PROFILE = null_profile_sql(MASTER, MASTER_COLS)
+LABELLED_PROFILE = null_profile_sql(f"SELECT * FROM ({MASTER}) m WHERE final_result IS NOT NULL", MASTER_COLS)
 
 # -------------------------------------------------------------------------- keys
 SQL["master"] = MASTER_R
 SQL["src_table_scan"] = "SELECT * FROM orders"
 SQL["src_columnar_json"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 SQL["src_catalog"] = " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in B.TABLES)
-SQL["src_lookup_file"] = LOOKUP
+SQL["src_lookup_file"] = SHEET
 SQL["src_stage_table"] = MASTER_R
 SQL["snk_table"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
 
 LI = "SELECT l_orderkey AS report_id, l_linenumber AS line, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus FROM lineitem"
-PB = f"SELECT l.*, p.p_partkey, p.p_type FROM ({LI}) l LEFT JOIN {PART_R} p ON l.l_partkey = p.p_partkey"
+PB = f"SELECT l.*, p.p_partkey, p.p_type FROM ({LI}) l LEFT JOIN {PART_R} p ON ({B.PART_KEY_SQL}) = p.p_partkey"
 SQL["brg_qa"] = f"SELECT report_id, line, l_partkey AS service_id, p_type AS service FROM ({PB}) b"
 
 
@@ -184,14 +187,14 @@ SQL["brg_inspector"] = (f"SELECT l.report_id, l.line, l.l_suppkey AS inspector_i
 SQL["prj_rename"] = ORDERS_VIEW
 SQL["prj_drop"] = f"SELECT * EXCLUDE (report_id, product_name) FROM ({MASTER_R}) m"
 SQL["prj_without_group"] = f"SELECT * EXCLUDE ({', '.join(SHARE_COLS)}) FROM ({MASTER_R}) m"
-SQL["prj_split_xy"] = (f"SELECT report_id, CASE WHEN final_result = 'pass' THEN 1 ELSE 0 END AS label "
-                       f"FROM ({MASTER}) m WHERE final_result IS NOT NULL")
+SQL["prj_split_xy"] = (f"SELECT * EXCLUDE (final_result), CASE WHEN final_result = 'pass' THEN 1 ELSE 0 END AS label "
+                       f"FROM ({MASTER_R}) m WHERE final_result IS NOT NULL")
 SQL["prj_constant"] = "SELECT o_orderkey AS report_id, 0 AS cert2 FROM orders"
 SQL["flt_phase"] = f"SELECT * FROM ({SQL['brg_visual']}) v WHERE phase = 1"
 SQL["flt_drop_null_target"] = f"SELECT * FROM ({MASTER_R}) m WHERE final_result IS NOT NULL"
 SQL["flt_exclude_none"] = (f"SELECT DISTINCT result AS value FROM ({SQL['brg_cons_conf']}) c "
                            f"WHERE result IS NOT NULL AND result <> 'None'")
-SQL["flt_missing_only"] = rnd(f"SELECT column_name, miss_rate FROM ({NULL_PROFILE}) p WHERE miss_rate > 0",
+SQL["flt_missing_only"] = rnd(f"SELECT column_name, miss_rate FROM ({LABELLED_PROFILE}) p WHERE miss_rate > 0",
                               ["miss_rate"])
 SQL["upd_conditional_by_key"] = (
     "SELECT o.o_orderkey AS report_id, coalesce(c.n, 0) AS cert1 FROM orders o LEFT JOIN "
@@ -207,8 +210,7 @@ SQL["jn_dim_client"] = ("SELECT o.o_orderkey AS report_id, c.c_mktsegment AS cli
 SQL["jn_country_lookup"] = f"SELECT report_id, manu_id, manu_add FROM ({REPORT_BASE}) r"
 SQL["chk_unmatched_keys"] = (
     f"SELECT manu_id, count(*) AS n_rows FROM ({REPORT_BASE}) r WHERE manu_id IS NOT NULL AND manu_id NOT IN "
-    f"(SELECT n.n_nationkey FROM nation n JOIN region g ON n.n_regionkey = g.r_regionkey "
-    f"WHERE g.r_name <> 'MIDDLE EAST') GROUP BY manu_id")
+    f"(SELECT manu_id FROM ({LOOKUP}) k WHERE country <> 'MIDDLE EAST') GROUP BY manu_id")
 
 
 def feature_join(name: str) -> str:
@@ -255,8 +257,9 @@ SQL["agg_collect_list"] = (
     f"GROUP BY report_id, inspector) c GROUP BY report_id")
 SQL["agg_null_count"] = f"SELECT column_name, miss_num FROM ({NULL_PROFILE}) p"
 SQL["agg_null_rate"] = rnd(f"SELECT column_name, miss_rate FROM ({NULL_PROFILE}) p", ["miss_rate"])
-SQL["agg_missing_report"] = rnd(f"SELECT * FROM ({NULL_PROFILE}) p WHERE miss_rate > 0", ["miss_rate"])
-SQL["srt_desc"] = SQL["agg_missing_report"]
+SQL["agg_missing_report"] = rnd(f"SELECT * FROM ({LABELLED_PROFILE}) p WHERE miss_rate > 0", ["miss_rate"])
+SQL["srt_desc"] = rnd(f"SELECT column_name, miss_rate, CAST(row_number() OVER (ORDER BY miss_rate DESC, column_name) AS INTEGER) AS place "
+                      f"FROM ({LABELLED_PROFILE}) p", ["miss_rate"])
 _DT = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' "
        "WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date' WHEN 'BOOLEAN' THEN 'boolean' "
        "WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE column_type END")
@@ -325,16 +328,21 @@ RUN_METRICS = (f"SELECT source, {PAIR}, log_loss FROM ({cells_sql(PRED05, 'sourc
 SQL["agg_run_stats"] = rnd(" UNION ALL ".join(
     f"SELECT '{m}' AS metric, avg({m}) AS mean, stddev_samp({m}) AS sd, count(*) AS runs FROM ({RUN_METRICS}) r"
     for m in E.RUN_METRICS), ["mean", "sd"])
-SQL["agg_histogram"] = rnd(f"""
-WITH r AS ({RUN_METRICS}),
+def histogram_sql(metric: str) -> str:
+    return f"""
+WITH r AS (SELECT {metric} AS accuracy FROM ({RUN_METRICS}) z),
 mm AS (SELECT CASE WHEN min(accuracy) = max(accuracy) THEN min(accuracy) - 0.5 ELSE min(accuracy) END AS lo,
               CASE WHEN min(accuracy) = max(accuracy) THEN max(accuracy) + 0.5 ELSE max(accuracy) END AS hi FROM r),
 b AS (SELECT CAST(least(floor((accuracy - mm.lo) * (50 / (mm.hi - mm.lo))), 49) AS INTEGER) AS bin FROM r, mm),
 c AS (SELECT bin, count(*) AS n FROM b GROUP BY bin),
 e AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
-SELECT e.bin, mm.lo + e.bin * ((mm.hi - mm.lo) / 50) AS lo, mm.lo + (e.bin + 1) * ((mm.hi - mm.lo) / 50) AS hi,
+SELECT '{metric}' AS metric, e.bin, mm.lo + e.bin * ((mm.hi - mm.lo) / 50) AS lo, mm.lo + (e.bin + 1) * ((mm.hi - mm.lo) / 50) AS hi,
        CAST(coalesce(c.n, 0) AS BIGINT) AS n
-FROM e CROSS JOIN mm LEFT JOIN c ON e.bin = c.bin""", ["lo", "hi"])
+FROM e CROSS JOIN mm LEFT JOIN c ON e.bin = c.bin"""
+
+
+SQL["agg_histogram"] = rnd(" UNION ALL ".join(f"(SELECT * FROM ({histogram_sql(m)}) h)" for m in ("accuracy", "npass_precision", "pass_precision")),
+                           ["lo", "hi"])
 
 for _n in ("el", "vi1", "vi2", "cons", "pt", "label"):
     SQL[f"rat_{_n}"] = rnd(FEATURES[_n], SPEC_COLS[_n])

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -105,8 +105,9 @@ def q_src_catalog(spark, sf):
 def q_src_lookup_file(spark, sf):
     t = _t(spark, sf)
     path = scratch_path(spark, "lookup-csv")
-    write_table(B.address_lookup(t).select("manu_id", "country").coalesce(1), path, fmt="csv")
-    return read_lookup_csv(spark, path, "manu_id int, country string").select("manu_id", "country")
+    write_table(B.address_lookup(t).select(F.col("_order").alias("line"), "manu_id", "country"), path, fmt="csv")
+    sheet = read_lookup_csv(spark, path, "line long, manu_id int, country string", order="line")
+    return sheet.select("manu_id", "country", "_order")
 
 
 @query("src_stage_table")
@@ -130,8 +131,13 @@ def _li(t: B.Tables) -> DataFrame:
                              "l_returnflag", "l_linestatus")
 
 
+def _phases(t: B.Tables) -> DataFrame:
+    return t.lineitem.select(F.col("l_orderkey").alias("report_id"), F.expr(B.PHASE_SQL).alias("phase"))
+
+
 def _part_bridge(t: B.Tables) -> DataFrame:
-    return bridge_join(_li(t), B.restricted_part(t), "l_partkey", "p_partkey", keep=["p_partkey", "p_type"])
+    keyed = _li(t).withColumn("part_key", F.expr(B.PART_KEY_SQL))
+    return bridge_join(keyed, t.part.select("p_partkey", "p_type"), "part_key", "p_partkey", keep=["p_partkey", "p_type"])
 
 
 def _result_bridge(spark, sf, kind: str, id_name: str, with_phase: bool = False) -> DataFrame:
@@ -217,8 +223,9 @@ def q_prj_without_group(spark, sf):
 
 @query("prj_split_xy")
 def q_prj_split_xy(spark, sf):
+    """Features (every column but the target) and the 0/1 label."""
     m = build_master(_t(spark, sf)).where(F.col(B.TARGET).isNotNull())
-    return m.select("report_id", F.when(F.col(B.TARGET) == E.POS, 1).otherwise(0).alias("label"))
+    return rounded(m.withColumn("label", F.when(F.col(B.TARGET) == E.POS, 1).otherwise(0)).drop(B.TARGET))
 
 
 @query("prj_constant")
@@ -243,7 +250,7 @@ def q_flt_exclude_none(spark, sf):
 
 @query("flt_missing_only")
 def q_flt_missing_only(spark, sf):
-    rep = PR.missing_report(build_master(_t(spark, sf)))
+    rep = PR.missing_report(_labelled_master(spark, sf))
     return rounded(rep.select("column_name", "miss_rate"))
 
 
@@ -251,8 +258,7 @@ def q_flt_missing_only(spark, sf):
 def q_upd_conditional_by_key(spark, sf):
     t = _t(spark, sf)
     base = B.orders_view(t).select("report_id", F.lit(0).cast("long").alias("cert1"))
-    counts = P.group_count(_lines(t), "l_orderkey", "phase", "cert1", where=F.col("phase") == 1,
-                           key_alias="report_id")
+    counts = P.group_count(_phases(t), "report_id", "phase", "cert1", where=F.col("phase") == 1)
     return update_by_key(base, counts, "report_id", "cert1")
 
 
@@ -261,7 +267,7 @@ def q_upd_conditional_by_key(spark, sf):
 def q_jn_dim_manufacturer(spark, sf):
     t = _t(spark, sf)
     rep = J.dim_join(B.orders_view(t), B.client_dim(t), "client_id", "client_id", ["manu_id"])
-    out = J.dim_join(rep, B.manufacturer_dim(t), "manu_id", "manu_id", ["manu_std_name"], bounded_dim=True)
+    out = J.dim_join(rep, B.manufacturer_dim(t), "manu_id", "manu_id", ["manu_std_name"])
     return out.select("report_id", "manu_id", "manu_std_name")
 
 
@@ -282,8 +288,9 @@ def q_jn_country_lookup(spark, sf):
 def q_chk_unmatched_keys(spark, sf):
     t = _t(spark, sf)
     rep = J.dim_join(B.orders_view(t), B.client_dim(t), "client_id", "client_id", ["manu_id"])
-    partial = B.address_lookup(t).where(F.col("country") != "MIDDLE EAST")
-    return J.unmatched_keys(rep, partial, "manu_id", "manu_id", bounded=True)
+    first = J.first_per_key(B.address_lookup(t), "manu_id", "country", "_order")
+    partial = first.where(F.col("country") != "MIDDLE EAST")
+    return J.unmatched_keys(rep, partial, "manu_id", "manu_id")
 
 
 def _feature_join(spark, sf, name: str) -> DataFrame:
@@ -346,7 +353,7 @@ def q_agg_indicator_sum(spark, sf):
 
 @query("agg_group_count")
 def q_agg_group_count(spark, sf):
-    return P.group_count(q_brg_cert(spark, sf), "report_id", "phase", "cert1", where=F.col("phase") == 1)
+    return P.group_count(_phases(_t(spark, sf)), "report_id", "phase", "cert1", where=F.col("phase") == 1)
 
 
 @query("agg_group_mean")
@@ -395,7 +402,7 @@ def q_agg_null_rate(spark, sf):
 
 @query("agg_missing_report")
 def q_agg_missing_report(spark, sf):
-    return rounded(PR.missing_report(_master(spark, sf)))
+    return rounded(PR.missing_report(_labelled_master(spark, sf)))
 
 
 @query("agg_schema_profile")
@@ -430,7 +437,12 @@ def q_agg_run_stats(spark, sf):
 
 @query("agg_histogram")
 def q_agg_histogram(spark, sf):
-    return rounded(E.histogram(spark, _run_metrics(spark, sf), "accuracy", 50))
+    runs = _run_metrics(spark, sf)
+    out = None
+    for metric in ("accuracy", "npass_precision", "pass_precision"):
+        one = E.histogram(spark, runs, metric, 50).select(F.lit(metric).alias("metric"), "bin", "lo", "hi", "n")
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)
 
 
 # ---------------------------------------------------------------- 2.6 ratios
@@ -520,7 +532,10 @@ def q_fn_zero_guard(spark, sf):
 
 @query("srt_desc")
 def q_srt_desc(spark, sf):
-    return rounded(PR.missing_report(_master(spark, sf)))
+    """Every column by falling missing rate (name breaks ties), with its place in that order."""
+    rates = PR.null_rates(_labelled_master(spark, sf))  # one row a column
+    place = F.row_number().over(Window.orderBy(F.col("miss_rate").desc(), "column_name"))
+    return rounded(rates.withColumn("place", place).orderBy("place"))
 
 
 @query("lim_first")

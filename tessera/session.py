@@ -28,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEM", "16g"))
+        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEM", "8g"))
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
     )
     spark = builder.getOrCreate()
@@ -38,15 +38,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint directory, creating a scratch one only
-    when the cluster did not name one (local tests)."""
+    """The session's checkpoint directory: what it has set, or what spark.checkpoint.dir
+    names.  Only a session without a cluster gets a scratch folder; on a cluster an unset
+    directory is an error, because executors do not share local folders."""
     sc = spark.sparkContext
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
+        path = sc.getConf().get("spark.checkpoint.dir", None)
+        if not path:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="tessera-ckpt-", dir="/tmp")
         sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    return sc.getCheckpointDir()
 
 
 def checkpoint(df):

@@ -1,10 +1,10 @@
 """Column-oriented JSON extracts: ``{"<col>": {"<row>": value, ...}, ...}``.
 
 Each file is one JSON object (pandas' default ``to_json`` orientation), so a
-file is the unit of parallelism: one task per file.  The object is parsed as
-``map<string, map<string, string>>``; rows are the keys of the first column
-and each cell is a map lookup, so reading needs no shuffle.  Convert to
-Parquet once at ingest.
+file is the unit of parallelism: one task parses it.  Its two maps are exploded
+to (row, column, value) cells, which one aggregate turns into rows again: linear
+in the cells, and a row needs a cell in any of the columns.  The writer bounds
+the rows of a file.  Convert to Parquet once at ingest.
 """
 from __future__ import annotations
 
@@ -29,31 +29,28 @@ def read_columnar_json(spark: SparkSession, path: str, columns: Sequence[str],
     raw = spark.read.text(path, wholetext=True)
     parsed = raw.select(
         F.col("_metadata.file_path").alias("_file"),
-        F.from_json("value", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))).alias("m"),
+        F.explode(F.from_json("value", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType())))).alias("col", "cells"),
     )
-    # Rows come from the keys of the first column's map; every cell is then a
-    # map lookup inside the same task -- no explode-and-pivot shuffle.
-    first = F.col("m")[str(columns[0])]
-    rows = parsed.select("_file", "m", F.explode(F.map_keys(first)).alias("row"))
-    out = [F.col("_file"), F.col("row").cast("long").alias("_row")]
-    for c, n, t in zip(columns, names, types):
-        out.append(F.col("m")[str(c)][F.col("row")].cast(t).alias(n))
-    return rows.select(*out)
+    cells = parsed.select("_file", "col", F.explode("cells").alias("row", "value"))
+    picked = [F.first(F.when(F.col("col") == str(c), F.col("value")), ignorenulls=True).cast(t).alias(n)
+              for c, n, t in zip(columns, names, types)]
+    return cells.groupBy("_file", F.col("row").cast("long").alias("_row")).agg(*picked)
 
 
-def write_columnar_json(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None) -> str:
+def write_columnar_json(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
+                        max_rows: int = 100_000) -> str:
     """Write ``df`` in the column-oriented layout, one JSON object per file.
 
-    Each Spark partition becomes one file; its rows are numbered 0..n-1 in
-    partition order.  Only one partition's rows are gathered per task, so
-    the partition count (``files``) bounds the memory per task.
+    Each Spark partition becomes one file for every ``max_rows`` of its rows, numbered 0..n-1 in
+    partition order, so a file (and what one task gathers) never exceeds that bound.
     """
     if files:
         df = df.repartition(files)
     pid = F.spark_partition_id()
-    tagged = df.select(pid.alias("_file"),
-                       (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias("_row"),
-                       *columns)
+    at = F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)
+    numbered = df.select(pid.alias("_part"), at.alias("_at"), *columns)
+    tagged = numbered.withColumn("_row", F.col("_at") % max_rows).withColumn(
+        "_file", F.concat_ws("-", "_part", F.floor(F.col("_at") / max_rows).cast("long")))
     per_file = tagged.groupBy("_file").agg(*[
         F.map_from_entries(F.collect_list(F.struct(F.col("_row").cast("string"), F.col(c).cast("string"))))
         .alias(f"c{i}") for i, c in enumerate(columns)])

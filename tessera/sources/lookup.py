@@ -2,14 +2,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def read_lookup_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_lookup_csv(spark: SparkSession, path: str, schema: str, order: str) -> DataFrame:
     """CSV with a header and a declared DDL schema (no inference pass).
 
-    A monotonically increasing ``_order`` column keeps the file order so a
-    "first matching row" rule can be applied later with ``min_by``.
+    ``order`` names the file's line-number column, which becomes ``_order``, so a "first matching
+    row" rule holds with ``min_by`` however many splits or files the sheet is read in.
     """
-    df = spark.read.csv(path, header=True, schema=schema)
-    return df.withColumn("_order", F.monotonically_increasing_id())
+    return spark.read.csv(path, header=True, schema=schema).withColumnRenamed(order, "_order")

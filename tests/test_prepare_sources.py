@@ -68,6 +68,17 @@ def test_columnar_json_and_stage_round_trip(spark):
     assert read_stage_table(spark, p2).count() == 50
 
 
+def test_columnar_json_bounds_rows_and_keeps_rows_missing_in_the_first_column(spark, tmp_path):
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(25)], "a long, b string")
+    write_columnar_json(df, str(tmp_path / "cj"), ["a", "b"], files=1, max_rows=10)
+    back = read_columnar_json(spark, str(tmp_path / "cj"), ["0", "1"], ["a", "b"], ["long", "string"])
+    assert sorted(map(tuple, back.select("a", "b").collect())) == sorted(map(tuple, df.collect()))
+    assert back.select("_file").distinct().count() == 3
+    (tmp_path / "one.json").write_text('{"0": {"0": 1}, "1": {"0": "x", "1": "y"}}')
+    rows = read_columnar_json(spark, str(tmp_path / "one.json"), ["0", "1"], ["a", "b"], ["long", "string"]).collect()
+    assert sorted((r._row, r.a, r.b) for r in rows) == [(0, 1, "x"), (1, None, "y")]
+
+
 def test_stratified_split_exact_counts(spark):
     import math
     from tessera.ml.prepare import stratified_split
