@@ -737,8 +737,8 @@ def q_ml_repeat_eval(spark, sf):
 def _grid(spark, sf):
     def build():
         train, _, feats = _balanced(spark, sf)
-        table, best = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
-        return checkpoint(table), best
+        table, best, default = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+        return checkpoint(table), best, default
     return _memo(spark, ("grid", sf), build)
 
 
@@ -749,10 +749,8 @@ def q_ml_grid_search(spark, sf):
 
 @query("ml_cv_compare")
 def q_ml_cv_compare(spark, sf):
-    train, _, feats = _balanced(spark, sf)
-    best = _grid(spark, sf)[1]
-    tuned = TR.cv_accuracy(train, "report_id", feats, best, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
-    default = TR.cv_accuracy(train, "report_id", feats, None, GRID_FOLDS, MODEL_ITER, MODEL_SEED)
+    table, _, default = _grid(spark, sf)
+    tuned = table.agg(F.max("cv_accuracy")).first()[0]
     return rounded(spark.createDataFrame([("tuned", tuned), ("untuned", default)], "model string, cv_accuracy double"))
 
 
@@ -778,8 +776,9 @@ MICE_ITERATIONS = 5
 
 @query("ml_mice")
 def q_ml_mice(spark, sf):
-    m = _labelled_master(spark, sf).drop("report_date")
+    m = checkpoint(_labelled_master(spark, sf).drop("report_date"))  # read by several passes
     numeric = numeric_features(m)
-    out = IM.mice(m, "report_id", numeric, B.CATEGORICAL_COLUMNS, iterations=MICE_ITERATIONS, datasets=1,
+    # the target predicts the other columns too
+    out = IM.mice(m, "report_id", numeric, [*B.CATEGORICAL_COLUMNS, B.TARGET], iterations=MICE_ITERATIONS, datasets=1,
                   seed=MODEL_SEED)[0]
     return rounded(out)
