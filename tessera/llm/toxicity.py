@@ -7,11 +7,12 @@ products of the term factors, so combinations (an insult with its target, an
 insult in a long or in a short text) weigh differently from their parts.
 
 Training reads a bounded sample: the `max_rows` labelled rows with the smallest
-hash of their id (all of them if there are fewer), hashed in the tasks and
-collected as term ids.  Terms in fewer than `min_rows` of the sample rows, or
-whose toxic share is within `min_surprise` standard errors of the sample's, get
-no weight; what is left (at most the sample's terms) is sent to the tasks.  Scoring
-is a map over whole texts: no shuffle.
+hash of their id (all of them if there are fewer).  Their terms are counted in
+Spark; terms in fewer than `min_rows` of the rows, or whose toxic share is within
+`min_surprise` standard errors of the sample's, get no weight.  The rows come to
+the driver as the few term ids that are left, and the fitted weights go to the
+tasks; both are bounded by the sample.  Scoring is a map over whole texts: no
+shuffle.
 
 Labels are read only for training rows; labels, language, source and id are
 never inputs of a score.
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import id_text
+from tessera.llm.common import checkpoint, id_text
 
 _WORDS = re.compile(r"[^\W\d_]+")
 _SPACE = 1 << 22
@@ -96,43 +97,35 @@ class FactorizationMachine:
         return self.bias + np.add.reduceat(self.weights[ids] * values, first) + pairs.sum(1) / 2
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, rank: int = 4, steps: int = 1500, batch: int = 400,
-        rate: float = 0.1, decay: float = 2e-4, min_rows: int = 4, min_surprise: float = 3.0, seed: int = 11) -> FactorizationMachine:
-    """Logistic loss by adaptive gradient steps over mini-batches; rows are (term ids, values)."""
+def fit(terms: np.ndarray, ends: np.ndarray, ids: np.ndarray, values: np.ndarray, labels: np.ndarray, rank: int = 4,
+        steps: int = 1500, batch: int = 400, rate: float = 0.1, decay: float = 2e-4, seed: int = 11) -> FactorizationMachine:
+    """Logistic loss by adaptive gradient steps over mini-batches.  Row i holds the term places
+    ids[ends[i - 1]:ends[i]] (into `terms`) with their values."""
     share = float(labels.mean()) if len(labels) else 0.0
-    if not 0 < share < 1:
-        odds = np.inf if share else -np.inf
+    if not 0 < share < 1 or not len(ids):
+        odds = float(np.log(share / (1 - share))) if 0 < share < 1 else np.inf if share else -np.inf
         return FactorizationMachine(np.zeros(1, np.int32), odds, np.zeros(1, np.float32), np.zeros((1, rank), np.float32))
-    every = np.concatenate([ids for ids, _ in rows])
-    terms, where, seen = np.unique(every, return_inverse=True, return_counts=True)
-    toxic = np.bincount(where, np.repeat(labels, [len(ids) for ids, _ in rows]))
-    surprise = (toxic - seen * share) / np.sqrt(seen * share * (1 - share))
-    kept = (seen >= min_rows) & (np.abs(surprise) >= min_surprise) | (terms < _LENGTH_TERMS)
-    terms = terms[kept]
     rng = np.random.default_rng(seed)
     model = FactorizationMachine(terms.astype(np.int32), float(np.log(share / (1 - share))), np.zeros(len(terms), np.float32),
                                  rng.normal(0, 0.02, (len(terms), rank)).astype(np.float32))
-    data = []
-    for ids, values in rows:
-        at = np.minimum(np.searchsorted(terms, ids), len(terms) - 1)
-        ok = terms[at] == ids
-        data.append((at[ok], values[ok]))
+    begins = np.r_[0, ends[:-1]]
     steps_w, steps_v, step_b = np.full(len(terms), 1e-2), np.full((len(terms), rank), 1e-2), 1e-2
-    filled = np.flatnonzero([len(d[0]) for d in data])
+    filled = np.flatnonzero(ends > begins)
     done = 0
-    while done < steps and len(filled):
+    while done < steps:
         order = rng.permutation(filled)
         for begin in range(0, len(order), batch):
             pace, done = rate * max(0.0, 1 - done / steps), done + 1
             part = order[begin:begin + batch]
-            lengths = np.array([len(data[i][0]) for i in part])
-            ids, values = (np.concatenate([data[i][c] for i in part]) for c in (0, 1))
+            lengths = ends[part] - begins[part]
             first, row = np.cumsum(lengths) - lengths, np.repeat(np.arange(len(part)), lengths)
-            slope = 1 / (1 + np.exp(-np.clip(model.raw(ids, values, first), -30, 30))) - labels[part]
-            scaled = model.factors[ids] * values[:, None]
+            at = np.arange(len(row)) + np.repeat(begins[part] - first, lengths)
+            x, place = values[at], ids[at]
+            slope = 1 / (1 + np.exp(-np.clip(model.raw(place, x, first), -30, 30))) - labels[part]
+            scaled = model.factors[place] * x[:, None]
             total = np.add.reduceat(scaled, first)
-            push = slope[row] * values
-            used, where = np.unique(ids, return_inverse=True)
+            push = slope[row] * x
+            used, where = np.unique(place, return_inverse=True)
             g_w = np.bincount(where, push) / len(part) * 10 + decay * model.weights[used]
             g_v = np.stack([np.bincount(where, push * (total[row, k] - scaled[:, k])) for k in range(rank)], 1) / len(part) * 10 + decay * model.factors[used]
             steps_w[used] += g_w ** 2
@@ -149,32 +142,55 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc_id", text_col: str = "text",
-                  label_col: str = "toxic") -> DataFrame:
-    """(ids, values, label) of the sample: the labelled rows, not held out, with the smallest id hashes."""
+def training_texts(docs: DataFrame, labels: DataFrame, max_rows: int, id_col: str = "doc_id", text_col: str = "text",
+                   label_col: str = "toxic") -> DataFrame:
+    """(text, label) of the sample: the labelled rows, not held out, with the smallest id hashes."""
     chosen = (labels.select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~is_held_out(F.col("doc_id")))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(max_rows))
-    schema = pa.schema([("ids", pa.list_(pa.int32())), ("values", pa.list_(pa.float32())), ("label", pa.int32())])
+    # at most max_rows pairs of (id, label): a proven bound for the broadcast
+    return id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("text", "label")
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, rows, toxic): the batch's rows with a term, and the toxic ones among them."""
+    terms = _Terms()
+    for batch in batches:
+        rows = [terms.row(t)[0] for t in batch.column("text").to_pylist()]
+        if rows:
+            labels = np.repeat(batch.column("label").to_numpy(), list(map(len, rows)))
+            seen, where, counts = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+            toxic = np.bincount(where, labels).astype(np.int64)
+            yield pa.RecordBatch.from_pydict({"term": seen, "rows": counts, "toxic": toxic})
+
+
+def train(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS, min_rows: int = 4, min_surprise: float = 3.0, **names) -> FactorizationMachine:
+    """Counts the sample's terms in Spark, keeps those that tell the classes apart, and fits them on the driver."""
+    sample = checkpoint(training_texts(docs, labels, max_rows, **names))
+    n, toxic = sample.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    share = toxic / n if n else 0.0
+    known = np.arange(_LENGTH_TERMS)
+    if 0 < share < 1:
+        counts = sample.mapInArrow(_term_counts, "term int, rows long, toxic long").groupBy("term").agg(F.sum("rows").alias("rows"), F.sum("toxic").alias("toxic"))
+        surprise = F.abs(F.col("toxic") - share * F.col("rows")) / F.sqrt(F.col("rows") * share * (1 - share))
+        told = counts.where((F.col("rows") >= min_rows) & (surprise >= min_surprise)).select("term").toArrow()["term"].to_numpy()
+        known = np.union1d(known, told)
+    schema = pa.schema([("ids", pa.list_(pa.int32())), ("values", pa.list_(pa.float32())), ("label", pa.int32()), ("place", pa.int64())])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = _Terms()
+        terms = _Terms(known.astype(np.int32))
         for batch in batches:
             rows = [terms.row(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], schema[0].type), pa.array([r[1] for r in rows], schema[1].type),
-                                              batch.column("label")], schema=schema)
-
-    # at most max_rows pairs of (id, label): a proven bound for the broadcast
-    rows = id_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")
-    return rows.select("text", "label").mapInArrow(hashed, "ids array<int>, values array<float>, label int")
-
-
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS, **names) -> FactorizationMachine:
-    sample = training_rows(docs, labels, max_rows, **names).toArrow()
-    order = sorted(range(sample.num_rows), key=lambda i: (sample["ids"][i].as_py(), sample["label"][i].as_py()))
-    ids, values = (sample[c].to_pylist() for c in ("ids", "values"))
-    rows = [(np.array(ids[i], np.int32), np.array(values[i], np.float32)) for i in order]
-    return fit(rows, np.array([sample["label"][i].as_py() for i in order], float))
+                                              batch.column("label"), batch.column("place")], schema=schema)
+
+    placed = sample.withColumn("place", F.xxhash64("text", "label"))
+    rows = placed.mapInArrow(hashed, "ids array<int>, values array<float>, label int, place long").toArrow().sort_by("place").combine_chunks()
+    if not rows.num_rows:
+        return fit(known, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0))
+    ids, values = (pa.concat_arrays(rows[c].chunks) for c in ("ids", "values"))
+    ends = np.cumsum(np.diff(ids.offsets.to_numpy()))
+    return fit(known, ends, ids.flatten().to_numpy(), values.flatten().to_numpy(), rows["label"].to_numpy().astype(float))
 
 
 def score(docs: DataFrame, model: FactorizationMachine, text_col: str = "text", into: str = "score") -> DataFrame:
