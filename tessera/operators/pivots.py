@@ -3,7 +3,7 @@ group counts and means.
 
 All pivots take an explicit ``domain``: with it, a pivot is one hash
 aggregate of conditional sums (map-side partial aggregation, one shuffle, no
-extra job).  ``domain_of`` discovers a domain with one bounded ``distinct``
+extra job).  ``domains_of`` discovers a domain with one bounded ``distinct``
 job when the caller does not know it.  Every aggregate here is algebraic
 (sum / max / count / avg), so a hot key holding a third of the rows is
 reduced to one partial row per map task before the shuffle.
@@ -16,19 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def domain_of(df: DataFrame, col: str, exclude: Sequence = ("None",), cap: int = 10_000) -> list:
-    """Distinct non-null values of ``col`` (minus ``exclude``), sorted.
-
-    Only the domain reaches the driver, and at most ``cap + 1`` values of it:
-    a wider domain raises instead of silently truncating.
-    """
-    vals = (df.select(col).where(F.col(col).isNotNull() & ~F.col(col).isin(list(exclude)))
-            .distinct().limit(cap + 1).collect())
-    if len(vals) > cap:
-        raise ValueError(f"domain of {col!r} exceeds {cap} values; use a sparse encoding")
-    return sorted(r[0] for r in vals)
-
-
 def domains_of(df: DataFrame, cols: Sequence[str], exclude: Sequence = (), cap: int = 10_000) -> dict[str, list]:
     """Domains of several columns in ONE distinct job over (column, value) pairs."""
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("v"))

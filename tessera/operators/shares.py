@@ -42,11 +42,6 @@ class ShareRule:
         return out
 
 
-def apply_shares(counts_df: DataFrame, key: str, counts: Sequence[str], rule: ShareRule) -> DataFrame:
-    """Replace count columns by the share columns of ``rule``."""
-    return counts_df.select(key, *rule.columns(counts))
-
-
 def exploded_shares(df: DataFrame, key: str, value: str, domain: Sequence, names: Mapping | None = None,
                     where: Column | None = None, key_alias: str | None = None) -> DataFrame:
     """Shares of each domain value among the non-null *exploded* values.
