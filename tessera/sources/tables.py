@@ -12,14 +12,27 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 
+def jdbc_options(table: str, partition_column: str | None = None, lower: object = None, upper: object = None,
+                 partitions: int | None = None, fetch_rows: int = 10_000, **connection: str) -> dict[str, str]:
+    """Options of a JDBC scan.  With a partition column and its bounds the table is read by
+    ``partitions`` tasks (rows outside the bounds fall into the first and last one); without, by one."""
+    given = [partition_column, lower, upper, partitions]
+    if any(v is not None for v in given) and None in given:
+        raise ValueError("partition_column, lower, upper and partitions go together")
+    out = {**connection, "dbtable": table, "fetchsize": str(fetch_rows)}
+    if partition_column:
+        out.update(partitionColumn=partition_column, lowerBound=str(lower), upperBound=str(upper), numPartitions=str(partitions))
+    return out
+
+
 def read_table(spark: SparkSession, base: str, name: str, fmt: str = "parquet",
                options: dict[str, str] | None = None) -> DataFrame:
-    """Scan one table: ``{base}/{name}.parquet`` for files, ``dbtable=name`` for JDBC."""
+    """Scan one table: ``{base}/{name}.parquet`` for files, the options of ``jdbc_options`` for JDBC."""
     reader = spark.read.format(fmt)
+    if fmt == "jdbc":
+        return reader.options(**jdbc_options(name, **(options or {}))).load()
     if options:
         reader = reader.options(**options)
-    if fmt == "jdbc":
-        return reader.option("dbtable", name).load()
     suffix = "" if fmt not in ("parquet", "orc", "json", "csv") else f".{fmt}"
     return reader.load(f"{base.rstrip('/')}/{name}{suffix}")
 

@@ -32,3 +32,21 @@ def test_null_profile_and_missing_report(spark):
     assert rep == ["x", "s"]
     dist = {r.s: r.n for r in PR.class_distribution(df, "s").collect()}
     assert None not in dist and dist["a"] == 1
+
+
+def test_jdbc_options_partition_the_read():
+    import pytest
+
+    from tessera.sources.tables import jdbc_options
+
+    got = jdbc_options("report", "report_id", 1, 5000, 16, url="jdbc:x", user="u")
+    assert got == {"url": "jdbc:x", "user": "u", "dbtable": "report", "fetchsize": "10000", "partitionColumn": "report_id",
+                   "lowerBound": "1", "upperBound": "5000", "numPartitions": "16"}
+    assert "numPartitions" not in jdbc_options("report", url="jdbc:x")
+    with pytest.raises(ValueError):
+        jdbc_options("report", "report_id", url="jdbc:x")
+
+
+def test_null_profile_takes_any_column_name(spark):
+    df = spark.createDataFrame([(1, None)], "`it's` int, `a b` int")
+    assert {r.column_name: r.miss_num for r in PR.null_counts(df).collect()} == {"it's": 0, "a b": 1}
