@@ -61,17 +61,17 @@ def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: s
     for source, mean in sorted(source_rates(docs, weights, source_col).items()):
         parts = max(1, math.ceil(mean / LARGEST_MEAN))
         tables.append((source, parts, poisson_table(mean / parts)))
-    schema = T.StructType([T.StructField("mix_source", T.StringType()), T.StructField("mix_parts", T.IntegerType()),
-                           T.StructField("mix_table", T.ArrayType(T.DoubleType()))])
+    schema = T.StructType([T.StructField("__mix_source", T.StringType()), T.StructField("__mix_parts", T.IntegerType()),
+                           T.StructField("__mix_table", T.ArrayType(T.DoubleType()))])
     means = F.broadcast(docs.sparkSession.createDataFrame(tables, schema))  # one row a weight
     docs = docs.select(*(docs[c] for c in docs.columns if c != "copies"))
     names = list(docs.columns)
     doc = F.coalesce(docs[id_col].cast("string"), F.lit("null"))
-    joined = docs.withColumn("mix_doc", doc).join(means, docs[source_col] == means["mix_source"], "left")
-    table = F.coalesce("mix_table", F.array(*map(F.lit, poisson_table(1.0))))
-    draw = lambda part: F.size(F.filter(table, lambda p: p <= uniform(F.lit(str(seed)), F.col("mix_doc"), part.cast("string"))))
-    copies = F.aggregate(F.sequence(F.lit(1), F.coalesce("mix_parts", F.lit(1))), F.lit(0), lambda n, part: n + draw(part))
-    return joined.withColumn("copies", copies).select(*names, "copies", "mix_doc")
+    joined = docs.withColumn("__mix_doc", doc).join(means, docs[source_col] == means["__mix_source"], "left")
+    table = F.coalesce("__mix_table", F.array(*map(F.lit, poisson_table(1.0))))
+    draw = lambda part: F.size(F.filter(table, lambda p: p <= uniform(F.lit(str(seed)), F.col("__mix_doc"), part.cast("string"))))
+    copies = F.aggregate(F.sequence(F.lit(1), F.coalesce("__mix_parts", F.lit(1))), F.lit(0), lambda n, part: n + draw(part))
+    return joined.withColumn("copies", copies).select(*names, "copies", "__mix_doc")
 
 
 def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
@@ -79,6 +79,6 @@ def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, id_col: str
     docs = docs.select(*(docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")))
     drawn = with_copies(docs, weights, seed, id_col, source_col).where("copies > 0")
     rows = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), "mix_doc", F.col("copy").cast("string")).cast("binary")), 1, 15), 16, 10)
-    rows = rows.withColumn("shuffle_key", key.cast("long")).drop("mix_doc")
+    key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), "__mix_doc", F.col("copy").cast("string")).cast("binary")), 1, 15), 16, 10)
+    rows = rows.withColumn("shuffle_key", key.cast("long")).drop("__mix_doc")
     return rows.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key")
