@@ -67,8 +67,13 @@ _NUMBERS = re.compile(
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<card>(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w-])\d{13,19}(?![\w-]))"
     r"|(?P<phone>(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
-    r"|(?P<token>(?<!\w)(?=[a-fA-F]*\d)[0-9a-fA-F]{32,128}(?!\w))", re.A)
+    , re.A)
+#: Where a number can begin; what to skip when none does (no number begins inside a run of word characters).
+_BEGIN, _RUN = re.compile(r"[\d(+]", re.A), re.compile(r"\w+|.", re.A | re.S)
+_TOKEN = re.compile(r"[0-9a-fA-F]{32,128}")
+_ANY_DIGIT = re.compile(r"\d", re.A)
 _TITLED = re.compile(rf"\b({'|'.join(sorted(_TITLE, key=len, reverse=True))})\.?[ \xa0]({_NAME})(?:[ \xa0]({_NAME}))?")
+_ANY_TITLE = re.compile("|".join(_TITLE))
 _KNOWN = re.compile(rf"\b({'|'.join(sorted(_GENDER_OF, key=len, reverse=True))})[ \xa0]({_NAME})")
 _KNOWN_NAMES = frozenset(_GENDER_OF)
 
@@ -180,13 +185,31 @@ def _laid_out(kind: str, original: str, replacement: str) -> str:
     return replacement
 
 
+def _numbers(text: str) -> list[tuple[int, int, str]]:
+    """Numbers and tokens; most texts have no digit and end here at once."""
+    found, at = [], 0
+    if not _ANY_DIGIT.search(text):
+        return found
+    while begin := _BEGIN.search(text, at):
+        m = _NUMBERS.match(text, begin.start())
+        if m:
+            found.append((m.start(), m.end(), m.lastgroup))
+        at = m.end() if m else _RUN.match(text, begin.start()).end()
+    word = lambda c: c.isascii() and (c.isalnum() or c == "_")
+    for m in _TOKEN.finditer(text):
+        a, b = m.span()
+        if not (a and word(text[a - 1]) or b < len(text) and word(text[b])) and _ANY_DIGIT.search(text, a, b):
+            found.append((a, b, "token"))
+    return found
+
+
 def detect(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, kind, canonical entity) of the entities of a text, in order, none overlapping."""
     found = []
     if "@" in text:
         found += [(m.start(), m.end(), "email") for m in _EMAIL.finditer(text)]
-    found += [(m.start(), m.end(), m.lastgroup) for m in _NUMBERS.finditer(text)]
-    for m in _TITLED.finditer(text):
+    found += _numbers(text)
+    for m in _TITLED.finditer(text) if _ANY_TITLE.search(text) else ():
         gender, (first, second) = _TITLE[m.group(1)], m.span(2)
         if m.group(3):
             given = _GENDER_OF.get(m.group(2), ("", gender))[1]
