@@ -11,15 +11,17 @@ def components(edges: DataFrame) -> DataFrame:
     """(v, c): every vertex of the edges (a, b) with the smallest vertex of its component.
 
     Rounds of joins and minimum aggregates: take the smallest label among the
-    neighbours, then the label of that label, which halves chains.  Nothing is
+    neighbours, twice, then the label of that label, which halves chains.  Nothing is
     collected per vertex or to the driver but a flag for each round."""
     both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).toDF("v", "w").where("v <> w").distinct())
     labels = checkpoint(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("c")))
     while True:
-        near = both.join(labels.toDF("w", "c"), "w").groupBy("v").agg(F.min("c").alias("near"))
-        closer = labels.join(near, "v").select("v", "c", F.least("c", "near").alias("best"))
-        jump = closer.join(labels.select(F.col("v").alias("best"), F.col("c").alias("far")), "best", "left")
-        after = checkpoint(jump.select("v", F.col("c").alias("old"), F.least("best", F.coalesce("far", "best")).alias("c")))
+        after = labels
+        for _ in range(2):
+            near = both.join(after.select(F.col("v").alias("w"), "c"), "w").groupBy("v").agg(F.min("c").alias("near"))
+            after = after.join(near, "v").select("v", F.least("c", "near").alias("c"))
+        jump = after.join(labels.select(F.col("v").alias("c"), F.col("c").alias("far")), "c", "left").select("v", F.least("c", F.coalesce("far", "c")).alias("c"))
+        after = checkpoint(jump.join(labels.select("v", F.col("c").alias("old")), "v"))
         labels = after.select("v", "c")
         if after.where("c <> old").isEmpty():
             return labels

@@ -14,10 +14,10 @@
    similar one, so most redundant pairs are never touched; what is left is verified
    in later rounds.
 5. Buckets whose members still are in several components have all their
-   cross-component pairs compared, in blocks of bounded size against each other
-   inside the tasks (signatures only; survivors go through step 4).  No pair that
-   shares a band and is not known to be connected is left out, and no group is
-   ever expanded into rows for all its pairs.
+   cross-component pairs tested and verified in the same way, in blocks of bounded
+   size against each other inside the tasks, each pair in the first band it shares;
+   only links come out.  No pair that shares a band and is not known to be
+   connected is left out, and no group is ever expanded into rows for all its pairs.
 
 A pair at the threshold shares no band with probability (1 - t^4)^32 = 5e-6 at
 0.75, less above it.
@@ -156,8 +156,8 @@ def _survivors(pairs: DataFrame, classes: DataFrame, needed: list[tuple[int, int
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, matches int").groupBy("a", "b").agg(F.max("matches").alias("matches"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets reach the threshold."""
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int, few: bool) -> DataFrame:
+    """The pairs (a, b) whose full shingle sets reach the threshold; `few`: their ids are broadcast to find the texts."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,7 +175,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
             at = pa.array(linked, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], schema=schema)
 
-    if pairs.count() <= SMALL_PAIRS:
+    if few:
         ids = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "doc_id")
         docs = docs.join(F.broadcast(ids), "doc_id", "left_semi")
     joined = (pairs.select("a", "b").join(docs.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
@@ -190,56 +190,94 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
             .withColumn("ca", F.coalesce("ca", "a")).withColumn("cb", F.coalesce("cb", "b")))
 
 
-def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels (v, c) after the links (a, b) are added."""
-    over = _labelled(links, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    merged = components(over)
+    if labels is None:
+        return components(links)
+    merged = components(_labelled(links, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     ends = links.select("a").union(links.select("b")).distinct().toDF("v")
     every = labels.join(ends, "v", "full").select("v", F.coalesce("c", "v").alias("c"))
     renamed = every.join(merged.select(F.col("v").alias("c"), F.col("c").alias("to")), "c", "left")
     return checkpoint(renamed.select("v", F.coalesce("to", "c").alias("c")))
 
 
-def _link(pairs: DataFrame, labels: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Labels after every pair (a, b, matches) that joins two components was verified."""
+def _link(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Labels after every pair (a, b, matches) that joins two components was verified (None: nothing linked yet)."""
     rest = pairs
-    for attempt in range(3):
-        rest = checkpoint(_labelled(rest.select("a", "b", "matches"), labels).where("ca <> cb").select("a", "b", "matches"))
-        if rest.isEmpty():
+    for attempt in range(2):
+        if labels is not None:
+            rest = checkpoint(_labelled(rest.select("a", "b", "matches"), labels).where("ca <> cb").select("a", "b", "matches"))
+        open_pairs = rest.count()
+        if not open_pairs:
             break
-        chosen = rest
-        if attempt < 2:
+        chosen = rest.select("a", "b")
+        if attempt == 0:  # the most similar pair of each class; one verified link makes most others needless
             pair = F.struct("matches", "a", "b").alias("pair")
             ends = rest.select(F.col("a").alias("v"), pair).union(rest.select(F.col("b").alias("v"), pair))
             chosen = checkpoint(ends.groupBy("v").agg(F.max("pair").alias("pair")).select("pair.a", "pair.b").distinct())
-        links = checkpoint(_verified(chosen, docs, size, percent))
-        rest = rest.join(chosen.select("a", "b"), ["a", "b"], "left_anti")
+        links = checkpoint(_verified(chosen, docs, size, percent, open_pairs <= SMALL_PAIRS))
+        rest = rest.join(chosen, ["a", "b"], "left_anti")
         if not links.isEmpty():
             labels = _joined(labels, links)
     return labels
 
 
-def _cross_pairs(needed: list[tuple[int, int]], threshold: float):
-    """Pairs of a group (key, p, q) between blocks p and q whose components differ and that pass the test."""
+def _cross_links(needed: list[tuple[int, int]], threshold: float, size: int, percent: int):
+    """Verified links of a group (key, p, q) between members of blocks p and q whose components differ.
+
+    Each pair is looked at in the first band that it shares only, and no more once the group's links join its ends."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        p, q = rows["p"].iloc[0], rows["q"].iloc[0]
+        p, q, band, pivot = (rows[c].iloc[0] for c in ("p", "q", "band", "pivot"))
         block, rep, comp, n = (rows[c].to_numpy() for c in ("block", "rep", "comp", "n"))
+        comp = comp.copy()
         sig = _sig_array(rows["sig"])
-        left, right = np.flatnonzero(block == p), np.flatnonzero(block == q)
-        out = []
+        texts, cache, sets = rows["text"].to_list(), WordHashes(), {}
+        left, right = np.flatnonzero((block == p) & (rep != pivot)), np.flatnonzero((block == q) & (rep != pivot))
+        links = []
         for i in left:
             others = right[rep[right] > rep[i]] if p == q else right
             others = others[(comp[others] != comp[i]) & (np.minimum(n[others], n[i]) >= threshold * np.maximum(n[others], n[i]))]
-            if len(others):
-                alive, matches = bayes_filter(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], needed)
-                ends = rep[others[alive]]
-                out.append(pd.DataFrame({"a": np.minimum(ends, rep[i]), "b": np.maximum(ends, rep[i]), "matches": matches}))
-        return pd.concat(out) if out else pd.DataFrame({"a": [], "b": [], "matches": []}).astype({"a": "int64", "b": "int64", "matches": "int32"})
+            if not len(others):
+                continue
+            alive, _ = bayes_filter(np.broadcast_to(sig[i], (len(others), HASHES)), sig[others], needed)
+            earlier = (sig[others[alive], :ROWS * band] == sig[i, :ROWS * band]).reshape(len(alive), band, ROWS).all(2).any(1)
+            for j in others[alive[~earlier]]:
+                if comp[j] == comp[i]:
+                    continue
+                for t in (i, j):
+                    if t not in sets:
+                        sets[t] = shingles((texts[t] or "").encode(), cache, size)
+                x, y = sets[i], sets[j]
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
+                    links.append((min(rep[i], rep[j]), max(rep[i], rep[j])))
+                    comp[comp == comp[j]] = comp[i]
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     return run
 
 
+def _block_pairs(opened: DataFrame) -> DataFrame:
+    """Members of split buckets with every pair (p, q) of blocks that they are compared in.
+
+    A bucket's largest component is not compared with itself: its members go once to each block of the others
+    (usually one), and the others to each block of it and of each other."""
+    sizes = opened.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    per_key = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("held"))
+    per_key = per_key.select("key", F.col("top.comp").alias("top"), F.ceil(F.col("top.n") / _BLOCK).cast("int").alias("n_top"),
+                             F.ceil((F.col("held") - F.col("top.n")) / _BLOCK).cast("int").alias("n_rest"))
+    rows = opened.drop("held").join(per_key, "key").withColumn("in_top", F.col("comp") == F.col("top"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("in_top"), F.col("n_top")).otherwise(F.col("n_rest"))).cast("int")
+    rows = rows.withColumn("block", F.when(F.col("in_top"), F.col("n_rest") + own).otherwise(own))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    pair = lambda p, q: F.struct(p.alias("p"), q.alias("q"))
+    with_rest = F.transform(upto("n_rest"), lambda i: pair(F.least(F.col("block"), i), F.greatest(F.col("block"), i)))
+    with_top = F.transform(upto("n_top"), lambda j: pair(F.col("block"), F.col("n_rest") + j))
+    rows = rows.withColumn("pair", F.explode(F.when(F.col("in_top"), with_rest).otherwise(F.concat(with_rest, with_top))))
+    return rows.select("key", "pair.p", "pair.q", "band", "pivot", "block", "rep", "comp")
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = SHINGLE, miss: float = MISS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id, kept."""
@@ -254,28 +292,32 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     members = checkpoint(members.distinct())
     # ids that stand in several rows: their classes are one document
     several = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a <> z")
-    same_id = checkpoint(members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b").distinct())
-    labels = components(same_id) if not same_id.isEmpty() else same_id.toDF("v", "c")
+    labels = None
+    if not several.isEmpty():
+        labels = components(members.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a <> b"))
 
-    bands = classes.select(F.explode(_band_keys(F.col("sig"))).alias("key"), "rep")
+    bands = classes.select("rep", F.posexplode(_band_keys(F.col("sig"))).alias("band", "key"))
     buckets = checkpoint(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("held")).where("pivot <> last"))
     star = bands.join(buckets.select("key", "pivot"), "key").where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
     tested = checkpoint(_survivors(star, classes, needed, threshold))
     labels = _link(tested, labels, texts, size, percent)
+    if labels is None:
+        labels = members.select(F.col("rep").alias("v"), F.col("rep").alias("c")).distinct()
 
     larger = buckets.where("held > 2")
-    inside = bands.join(larger.select("key", "held"), "key").join(labels.select(F.col("v").alias("rep"), "c"), "rep", "left")
-    inside = checkpoint(inside.select("key", "rep", F.coalesce("c", "rep").alias("comp"), "held"))
+    inside = bands.join(larger.select("key", "pivot", "held"), "key").join(labels.select(F.col("v").alias("rep"), "c"), "rep", "left")
+    inside = checkpoint(inside.select("key", "band", "pivot", "held", "rep", F.coalesce("c", "rep").alias("comp")))
     split = inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    blocks = F.ceil(F.col("held") / _BLOCK).cast("int")
-    open_rows = (inside.join(split.select("key"), "key").withColumn("blocks", blocks)
-                 .withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select("key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "rep", "comp"))
-    open_rows = open_rows.join(classes.select("rep", "n", "sig"), "rep")
-    cross = (open_rows.groupBy("key", "p", "q").applyInPandas(_cross_pairs(needed, threshold), "a long, b long, matches int")
-             .groupBy("a", "b").agg(F.max("matches").alias("matches")).join(tested.select("a", "b"), ["a", "b"], "left_anti"))
-    labels = _link(checkpoint(cross), labels, texts, size, percent)
+    opened = checkpoint(inside.join(split.select("key"), "key"))
+    if not opened.isEmpty():
+        few = opened.select(F.col("rep").alias("doc_id")).distinct()
+        members_of = (texts.join(F.broadcast(few), "doc_id", "left_semi") if few.count() <= 2 * SMALL_PAIRS
+                      else texts).select(F.col("doc_id").alias("rep"), "text")
+        blocks = _block_pairs(opened)
+        full_rows = blocks.join(classes.select("rep", "n", "sig"), "rep").join(members_of, "rep")
+        links = checkpoint(full_rows.groupBy("key", "p", "q").applyInPandas(_cross_links(needed, threshold, size, percent), "a long, b long").distinct())
+        if not links.isEmpty():
+            labels = _joined(labels, links)
 
     named = members.join(labels.select(F.col("v").alias("rep"), "c"), "rep", "left").select("doc_id", F.coalesce("c", "rep").alias("c"))
     named = checkpoint(named.groupBy("doc_id").agg(F.min("c").alias("component_id")))
