@@ -7,7 +7,10 @@ given name) are replaced by surrogates of the same type and format:
 * characters are replaced within their class (digits by digits, vowels and
   consonants by letters of the same kind and script, case and punctuation stay) by a
   keyed permutation of all strings of that pattern, so different entities cannot get
-  the same surrogate; card numbers keep a valid (or invalid) check digit; addresses
+  the same surrogate; letters outside the vowels and consonants of `LETTERS` (Chinese,
+  Hebrew, Vietnamese, ...) are replaced within the letters of their own script; where a
+  pattern has too few strings for the corpus (`OWN_DRAWS` draws clashed), names, emails and
+  phone numbers get longer ones; card numbers keep a valid (or invalid) check digit; addresses
   keep their top-level domain, phone numbers their country code, IPv4 octets stay in
   range;
 * known given names change places among the names of the same gender and script;
@@ -18,8 +21,8 @@ mention of an entity, in any document or spelling of it, gets the same one.
 
 A Spark job over the distinct entities checks that no two of a type share a surrogate,
 that none stays as it is, and that no surrogate is an entity of the corpus (but for
-given names, whose pools are small by design); those that clash are drawn again with the next tweak until none
-does.  The few redrawn entities go to the tasks if there are at most `max_redrawn`;
+given names, whose pools are small by design); those that clash are drawn again with the next tweak, from ever
+longer patterns, until none does.  The few redrawn entities go to the tasks if there are at most `max_redrawn`;
 beyond that they are joined to their documents.  Replacing is a map over whole texts.
 
 Defined cases: null texts stay null and have no entities; empty texts stay; a null id
@@ -30,6 +33,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -54,7 +59,37 @@ HONORIFICS = {"f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sr
 #: Vowels and consonants by script.
 LETTERS = (("aeiouy", "bcdfghjklmnpqrstvwxz"), ("аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ"), ("αεηιουω", "βγδζθκλμνξπρστφχψ"))
 
-_CLASS = {c: kind for script in LETTERS for kind in script for c in kind} | {c: "0123456789" for c in "0123456789"}
+#: So many draws keep the length of the pattern, each further group of as many takes LONGER more characters.
+OWN_DRAWS, LONGER = 4, 2
+
+
+class _Classes(dict):
+    """The class of each character; others than letters and numbers have none."""
+
+    def __missing__(self, c: str) -> str:
+        self[c] = _other_classes().get(c, "")
+        return self[c]
+
+
+@lru_cache(maxsize=1)
+def _other_classes() -> dict[str, str]:
+    """Classes of what LETTERS leaves out, by the script in the Unicode name, the category, how the letter is capitalised
+    and whether it is a compatibility form; cased letters are told by Unicode block too, so that they stay with those of the same languages.  What would be
+    alone in its class goes into one common class."""
+    groups: dict[tuple, list[str]] = {}
+    for c in map(chr, range(0x80, sys.maxunicode + 1)):
+        if c.isalnum() and c not in _CLASS and ord(c) not in _FOLD and c == c.lower():
+            kind, upper = unicodedata.category(c), c.upper()
+            cased = "none" if upper == c else "pair" if len(upper) == 1 and upper.lower() == c else "odd"
+            block = ord(c) >> 7 if cased == "pair" else 0x4E00 <= ord(c) < 0xA000
+            groups.setdefault((*unicodedata.name(c, "").split()[:2], kind, cased, block, unicodedata.is_normalized("NFKC", c)), []).append(c)
+    rest = "".join(g[0] for g in groups.values() if len(g) == 1)
+    classes = ["".join(g) if len(g) > 1 else rest for g in groups.values()]
+    return {c: letters for letters, g in zip(classes, groups.values()) for c in g}
+
+
+_CLASS = _Classes({c: kind for script in LETTERS for kind in script for c in kind} | {c: "0123456789" for c in "0123456789"})
+_OTHER_KIND = {a: b for pair in LETTERS for a, b in (pair, pair[::-1])}
 _HEX = "0123456789abcdef"
 _FOLD = str.maketrans("áàâäãåéèêëíìîïóòôöõúùûüýÿ", "aaaaaaeeeeiiiiooooouuuuyy")
 _GENDER_OF = {name: (script, gender) for script, by in GIVEN.items() for gender, names in by.items() for name in names}
@@ -103,7 +138,7 @@ class Permutation:
 
 def _permuted(text: str, key: bytes, tweak: str, classes: dict[str, str]) -> str:
     """`text` with each character of a class replaced within it; the pattern stays, and strings of a pattern are permuted."""
-    kinds = [classes.get(c, "") for c in text]
+    kinds = [classes[c] for c in text]
     n, value = 1, 0
     for c, kind in zip(text, kinds):
         if kind:
@@ -120,6 +155,15 @@ def _permuted(text: str, key: bytes, tweak: str, classes: dict[str, str]) -> str
     return "".join(reversed(out))
 
 
+def _longer(text: str, more: int) -> str:
+    """`text` and `more` characters: vowels and consonants in turn, or of the last class."""
+    kind = next((k for k in map(_CLASS.__getitem__, reversed(text)) if k), LETTERS[0][0])
+    for _ in range(more):
+        kind = _OTHER_KIND.get(kind, kind)
+        text += kind[0]
+    return text
+
+
 def _luhn(digits: str) -> bool:
     total = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits)))
     return total % 10 == 0
@@ -128,13 +172,13 @@ def _luhn(digits: str) -> bool:
 @lru_cache(maxsize=50_000)
 def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
     """The replacement of a canonical entity."""
-    tweak = f"{kind}|{attempt}"
+    tweak, more = f"{kind}|{attempt}", attempt // OWN_DRAWS * LONGER
     if kind == "email":
         body, _, top = entity.rpartition(".")
-        return _permuted(body, key, f"{tweak}|{top}", _CLASS) + "." + top
+        return _permuted(_longer(body, more), key, f"{tweak}|{top}", _CLASS) + "." + top
     if kind == "phone":
         kept = (2 if entity[1] in "17" else 3) if entity.startswith("+") else 0
-        return entity[:kept] + _permuted(entity[kept:], key, f"{tweak}|{entity[:kept]}", _CLASS)
+        return entity[:kept] + _permuted(_longer(entity[kept:], more), key, f"{tweak}|{entity[:kept]}", _CLASS)
     if kind == "card":
         valid, out = _luhn(entity), entity
         while True:  # walk on to the next number whose check digit is as valid
@@ -152,7 +196,10 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         ring = sorted(range(len(names)), key=lambda i: hashlib.blake2b(f"{tweak}|{names[i]}".encode(), key=hashlib.sha256(key).digest()).digest())
         return names[ring[(ring.index(place) + 1) % len(ring)]].lower()  # the next in a keyed ring: one to one, never itself
     kept = 2 if kind.startswith("given") and len(entity) > 3 else 0
-    return _permuted(entity[:len(entity) - kept], key, f"{tweak}|{entity[len(entity) - kept:]}", _CLASS) + entity[len(entity) - kept:]
+    stem, end = entity[:len(entity) - kept], entity[len(entity) - kept:]
+    if kind.startswith(("given", "surname")):
+        stem = _longer(stem, more)
+    return _permuted(stem, key, f"{tweak}|{end}", _CLASS) + end
 
 
 _GENDER_OF_FOLDED = {name.lower(): (script, gender, i) for script, by in GIVEN.items() for gender, names in by.items() for i, name in enumerate(names)}
@@ -173,14 +220,14 @@ def _laid_out(kind: str, original: str, replacement: str) -> str:
     """The canonical replacement in the format of the mention: its punctuation and case."""
     if kind == "phone" or kind == "card":
         digits = iter(replacement.lstrip("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join(next(digits) if c.isdigit() else c for c in original) + "".join(digits)
     if kind.startswith(("given", "surname")):
         if len(original) == len(replacement):
             return "".join(r.upper() if o.isupper() else r for o, r in zip(original, replacement))
         if original.isupper():
             return replacement.upper()
         return "-".join(p[:1].upper() + p[1:] for p in replacement.split("-"))
-    if kind in ("email", "token"):
+    if kind in ("email", "token") and len(original) == len(replacement):
         return "".join(r.upper() if o.isupper() else r for o, r in zip(original, replacement))
     return replacement
 
@@ -252,7 +299,9 @@ def redrawn(distinct: DataFrame, key: bytes, attempts: int = 40) -> DataFrame:
     current = distinct.select("kind", "entity", F.lit(0).alias("attempt"))
     for _ in range(attempts):
         drawn = checkpoint(current.mapInArrow(draw, "kind string, entity string, attempt int, surrogate string"))
-        shared = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"), F.count("*").alias("n")).where("n > 1")
+        # known given names come first: their ring has no other place for them
+        first = F.min(F.struct(~F.col("entity").isin(list(_GENDER_OF_FOLDED)), "entity"))["entity"]
+        shared = drawn.groupBy("kind", "surrogate").agg(first.alias("first"), F.count("*").alias("n")).where("n > 1")
         twice = drawn.join(shared, ["kind", "surrogate"]).where("entity <> first").select("kind", "entity")
         real = (drawn.where("kind not like 'given%'").join(distinct.select("kind", F.col("entity").alias("surrogate")), ["kind", "surrogate"], "left_semi")
                 .select("kind", "entity"))

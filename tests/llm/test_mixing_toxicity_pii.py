@@ -189,6 +189,26 @@ def test_clashes_are_drawn_again(spark, make_docs):
     assert sorted(map(str, small.collect())) == sorted(map(str, joined.collect()))
 
 
+def test_every_name_gets_a_surrogate(spark, make_docs):
+    """Scripts without vowel and consonant classes, and more two-letter surnames than half their pattern has strings."""
+    others = ["Dr. 王明", "Dr. שמעון", "Prof. Đỗ", "Dr. ½½", "Mr. Đặng 王明 x", "Mr. 李四 came"]
+    short = [a + b for a in "bcdfghjklmnpqrstvwxz" for b in "aeiouy"][:110]
+    vowels = [a + b for a in "aeiou" for b in "aeiou"]
+    rows = list(enumerate(others)) + [(100 + i, f"Mr. {n.title()}") for i, n in enumerate(short + vowels)]
+    got = {r.doc_id: r for r in pii.replace_entities(make_docs(rows), KEY).collect()}
+    assert len(got) == len(rows) and all(got[i].entities for i, _ in rows)
+    for i, text in rows:
+        for e in got[i].entities:
+            assert text[e.start:e.end] != got[i].text[e.new_start:e.new_end]
+    new = [got[i].text[4:].lower() for i, _ in rows if i >= 100]
+    assert len(set(new)) == len(new) and not set(new) & set(short + vowels)
+    assert re.fullmatch("Dr\\. [\u4e00-\u9fff]{2}", got[0].text) and re.fullmatch("Dr\\. [\u05d0-\u05f2]{5}", got[1].text)
+    # longer surrogates of emails and phone numbers are written out in full
+    for kind, text in (("email", "A@b.de"), ("phone", "+1 1 22 33")):
+        long = pii.surrogate(KEY, kind, pii.canonical(kind, text), pii.OWN_DRAWS)
+        assert len(long) == len(pii.canonical(kind, text)) + pii.LONGER and pii.canonical(kind, pii._laid_out(kind, text, long)) == long
+
+
 def test_awkward_texts(make_docs, awkward):
     rows = awkward + [(50, TEXTS[0]), (50, TEXTS[0]), (None, TEXTS[1])]
     got = pii.replace_entities(make_docs(rows), KEY).collect()
