@@ -1,7 +1,7 @@
 """PII surrogates: keyed, type-consistent replacements.
 
-Detected entities (email addresses, phone, card and social security numbers, IPv4
-addresses, long hexadecimal tokens, and person names after an honorific or a known
+Detected entities (email addresses, phone, card and social security numbers, IPv4 and
+IPv6 addresses, long hexadecimal tokens, and person names after an honorific or a known
 given name) are replaced by surrogates of the same type and format:
 
 * characters are replaced within their class (digits by digits, vowels and
@@ -11,8 +11,8 @@ given name) are replaced by surrogates of the same type and format:
   Hebrew, Vietnamese, ...) are replaced within the letters of their own script; where a
   pattern has too few strings for the corpus (`OWN_DRAWS` draws clashed), names, emails and
   phone numbers get longer ones; card numbers keep a valid (or invalid) check digit; addresses
-  keep their top-level domain, phone numbers their country code, IPv4 octets stay in
-  range;
+  keep their top-level domain, phone numbers their country code or leading 0, IPv4 octets
+  stay in range, IPv6 addresses become others in their shortest form;
 * known given names change places among the names of the same gender and script;
   other given names keep their last letters, which mark gender in many languages.
 
@@ -37,6 +37,7 @@ import sys
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from ipaddress import AddressValueError, IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -94,17 +95,21 @@ _HEX = "0123456789abcdef"
 _FOLD = str.maketrans("áàâäãåéèêëíìîïóòôöõúùûüýÿ", "aaaaaaeeeeiiiiooooouuuuyy")
 _GENDER_OF = {name: (script, gender) for script, by in GIVEN.items() for gender, names in by.items() for name in names}
 _TITLE = {t: g for g, titles in HONORIFICS.items() for t in titles}
-_NAME = r"[^\W\d_a-zà-öø-ÿа-яά-ώ](?:[^\W\d_]+|['’][^\W\d_]+)(?:['’-][^\W\d_]+)*"
+#: A closing 's is no part of a name.
+_NAME = r"[^\W\d_a-zà-öø-ÿа-яά-ώ](?:[^\W\d_]+|['’](?![sS]\b)[^\W\d_]+)(?:(?:['’](?![sS]\b)|-)[^\W\d_]+)*"
 
 _EMAIL = re.compile(r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![\w-])", re.A)
 _NUMBERS = re.compile(
     r"(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\w]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<card>(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w-])\d{13,19}(?![\w-]))"
-    r"|(?P<phone>(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
+    r"|(?P<card>(?<![\w-])(?:\d{4}[ -]){3}\d{1,7}(?![\w-])|(?<![\w-])\d{4}([ -])\d{6}\4\d{4,5}(?![\w-])|(?<![\w-])\d{13,19}(?![\w-]))"
+    r"|(?P<phone>(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\w)|(?<![\w-])(?:1[ .-])?\d{3}[ .-]\d{3}[ .-]\d{4}(?![\w-])"
+    r"|(?<![\w.-])(?=0(?:[ /-]?\d){8,11}(?![\w-]))0\d{2,4}[ /-]\d{3,8}(?:[ -]\d{2,8}){0,2}(?![\w-]))"
     , re.A)
 #: Where a number can begin; what to skip when none does (no number begins inside a run of word characters).
 _BEGIN, _RUN = re.compile(r"[\d(+]", re.A), re.compile(r"\w+|.", re.A | re.S)
+#: What every IPv6 address holds; the address around it; the letters before it.
+_COLONS, _IPV6, _IPV6_HEAD = re.compile(r":[0-9a-fA-F]{0,4}:"), re.compile(r"[0-9a-fA-F:]+"), re.compile(r"[0-9a-fA-F]{0,4}\Z")
 _TOKEN = re.compile(r"[0-9a-fA-F]{32,128}")
 _ANY_DIGIT = re.compile(r"\d", re.A)
 _TITLED = re.compile(rf"\b({'|'.join(sorted(_TITLE, key=len, reverse=True))})\.?[ \xa0]({_NAME})(?:[ \xa0]({_NAME}))?")
@@ -177,7 +182,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
         body, _, top = entity.rpartition(".")
         return _permuted(_longer(body, more), key, f"{tweak}|{top}", _CLASS) + "." + top
     if kind == "phone":
-        kept = (2 if entity[1] in "17" else 3) if entity.startswith("+") else 0
+        kept = (2 if entity[1] in "17" else 3) if entity.startswith("+") else 1 if entity[0] == "0" else 0
         return entity[:kept] + _permuted(_longer(entity[kept:], more), key, f"{tweak}|{entity[:kept]}", _CLASS)
     if kind == "card":
         valid, out = _luhn(entity), entity
@@ -185,6 +190,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int = 0) -> str:
             out = _permuted(out, key, tweak, _CLASS)
             if _luhn(out) == valid:
                 return out
+    if kind == "ip" and ":" in entity:
+        return str(IPv6Address(Permutation(key, tweak, 1 << 128)(int(IPv6Address(entity)))))
     if kind == "ip":
         value = Permutation(key, tweak, 1 << 32)(int.from_bytes(bytes(map(int, entity.split("."))), "big"))
         return ".".join(map(str, value.to_bytes(4, "big")))
@@ -207,7 +214,10 @@ _GENDER_OF_FOLDED = {name.lower(): (script, gender, i) for script, by in GIVEN.i
 
 def canonical(kind: str, text: str) -> str:
     if kind == "phone":
-        return ("+" if text.startswith("+") else "") + re.sub(r"\D", "", text)
+        digits = re.sub(r"\D", "", text)
+        return ("+" if text.startswith("+") or len(digits) == 11 and digits[0] == "1" else "") + digits
+    if kind == "ip":
+        return str(IPv6Address(text)) if ":" in text else text
     if kind == "card":
         return re.sub(r"\D", "", text)
     if kind.startswith(("given", "surname")):
@@ -232,6 +242,16 @@ def _laid_out(kind: str, original: str, replacement: str) -> str:
     return replacement
 
 
+def _is_ipv6(text: str) -> bool:
+    """An IPv6 address with at least two written groups and a digit (so not `::1`, nor the `a::b` of a program)."""
+    if sum(map(bool, text.split(":"))) < 2 or not _ANY_DIGIT.search(text):
+        return False
+    try:
+        return bool(IPv6Address(text))
+    except AddressValueError:
+        return False
+
+
 def _numbers(text: str) -> list[tuple[int, int, str]]:
     """Numbers and tokens; most texts have no digit and end here at once."""
     found, at = [], 0
@@ -240,9 +260,18 @@ def _numbers(text: str) -> list[tuple[int, int, str]]:
     while begin := _BEGIN.search(text, at):
         m = _NUMBERS.match(text, begin.start())
         if m:
-            found.append((m.start(), m.end(), m.lastgroup))
+            found.append((m.start(), m.end(), next(k for k, v in m.groupdict().items() if v is not None)))
         at = m.end() if m else _RUN.match(text, begin.start()).end()
     word = lambda c: c.isascii() and (c.isalnum() or c == "_")
+    at = 0
+    while m := _COLONS.search(text, at):
+        a = m.start() - len(_IPV6_HEAD.search(text[max(0, m.start() - 4):m.start()]).group())
+        b = _IPV6.match(text, a).end()
+        at = max(b, m.end())
+        if text[b - 1] == ":" and text[b - 2:b] != "::":  # a colon of the sentence
+            b -= 1
+        if not (a and (word(text[a - 1]) or text[a - 1] in ".:") or b < len(text) and (word(text[b]) or text[b] == "." and text[b + 1:b + 2].isdigit())) and _is_ipv6(text[a:b]):
+            found.append((a, b, "ip"))
     for m in _TOKEN.finditer(text):
         a, b = m.span()
         if not (a and word(text[a - 1]) or b < len(text) and word(text[b])) and _ANY_DIGIT.search(text, a, b):

@@ -209,6 +209,26 @@ def test_every_name_gets_a_surrogate(spark, make_docs):
         assert len(long) == len(pii.canonical(kind, text)) + pii.LONGER and pii.canonical(kind, pii._laid_out(kind, text, long)) == long
 
 
+def test_further_forms_are_found():
+    for text, kind in (("3782 822463 10005", "card"), ("3782-822463-10005", "card"), ("509 555 0100", "phone"), ("1-800-555-0100", "phone"),
+                       ("509.555-0100", "phone"), ("020 7946 0958", "phone"), ("0171 1234567", "phone"), ("2001:db8::8a2e:370:7334", "ip"),
+                       ("2001:0db8:0000:0000:0000:8a2e:0370:7334", "ip"), ("fe80::1", "ip"), ("10.0.0.255", "ip"), ("123-45-6789", "ssn")):
+        for before, after in (("", ""), ("call ", "."), ("(", "), then"), ("at ", ": no")):
+            assert [(before + text + after)[a:b] + k for a, b, k, _ in pii.detect(before + text + after)] == [text + kind], before + text + after
+        entity = pii.detect(text)[0][3]
+        new = pii._laid_out(kind, text, pii.surrogate(KEY, kind, entity))
+        assert new != text and [(k, len(e) if k != "ip" else 0) for *_, k, e in pii.detect(new)] == [(kind, len(entity) if kind != "ip" else 0)]
+    for text in ("at 12:30:45", "std::vector", "x[::2]", "2024-01-02 10:20:30", "a::b", "1 000 000", "07 04 2021"):
+        assert pii.detect(text) == []
+    assert pii.canonical("phone", "1-800-555-0100") == pii.canonical("phone", "+1 (800) 555-0100")
+    assert pii.canonical("ip", "2001:0db8::1") == pii.canonical("ip", "2001:DB8:0::1")
+
+
+def test_a_possessive_is_the_same_name():
+    texts = ("Mr Smith's dog", "Mr Smith’s Dog", "MR Smith", "Mr Smith", "Mr John Smith's", "Alice Smith's", "Mrs. O'Neil's")
+    assert [[e for *_, k, e in pii.detect(t) if k == "surname"] for t in texts] == [["smith"], ["smith"], [], ["smith"], ["smith"], ["smith"], ["o'neil"]]
+
+
 def test_awkward_texts(make_docs, awkward):
     rows = awkward + [(50, TEXTS[0]), (50, TEXTS[0]), (None, TEXTS[1])]
     got = pii.replace_entities(make_docs(rows), KEY).collect()
