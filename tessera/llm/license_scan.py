@@ -1,8 +1,11 @@
 """License scans as an exact set-similarity join.
 
-Text blocks (lines; long lines as overlapping runs of words) are joined with the
-word sets of license templates: a block matches a template when it holds at
-least `threshold` of the template's distinct words.  The join is exact:
+Text blocks are joined with the word sets of license templates: a block matches a
+template when it holds at least `threshold` of the template's distinct words.
+Blocks are lines (long lines as overlapping runs of words) and, for text wrapped
+over lines and templates of any length, windows of the whole document: for a
+template of n words, 2 n words from every n-th word on, so any n words in a row
+lie in a window.  The join is exact:
 
 * words are ordered by their frequency in the whole corpus, rarest first (counted
   by a Spark job; only template words matter, so what is collected is bounded by
@@ -86,6 +89,7 @@ class TemplateIndex:
         sets = [set(text.encode().translate(ALNUM_LOWER).split()) for _, text in templates]
         words = sorted(set().union(*sets), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(words)}
+        self.steps = [len(text.encode().translate(ALNUM_LOWER).split()) for _, text in templates]
         self.sets = [frozenset(self.rank[w] for w in s) for s in sets]
         self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in self.sets]
         self.index: dict[int, list[tuple[int, int]]] = {}
@@ -114,6 +118,25 @@ class TemplateIndex:
         return sorted(out)
 
 
+    def windows(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
+        """(first word, number of words, template, containment) of every window of the document that holds the template."""
+        placed = [(i, self.rank[w]) for i, w in enumerate(words) if w in self.rank]
+        present = {r for _, r in placed}
+        out = []
+        for t, (wanted, need, step) in enumerate(zip(self.sets, self.needed, self.steps)):
+            if len(wanted & present) < need:
+                continue
+            parts: dict[int, set[int]] = {}  # the template's words in each run of `step` words
+            for i, r in placed:
+                if r in wanted:
+                    parts.setdefault(i // step, set()).add(r)
+            for k in sorted({k for part in parts for k in (part - 1, part) if k == 0 or k > 0 and (k + 1) * step < len(words)}):
+                shared = len(parts.get(k, set()) | parts.get(k + 1, set()))
+                if shared >= need:
+                    out.append((k * step, min(2 * step, len(words) - k * step), t, shared / len(wanted)))
+        return out
+
+
 def word_frequencies(docs: DataFrame, words: frozenset[bytes], text_col: str = "text") -> dict[bytes, int]:
     """Occurrences of the given words in the corpus (one count a word comes back)."""
 
@@ -143,30 +166,32 @@ def _phrase_places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
          phrases: Sequence[tuple[str, str]] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: doc_id, n_words, base (places of the phrases:
-    first_word, label) and blocks (matches of the join: first_word, n_words,
-    label, containment)."""
+    first_word, label), blocks and windows (matches of the join with lines and with
+    windows of the document: first_word, n_words, label, containment)."""
     vocabulary = frozenset(w for _, text in templates for w in text.encode().translate(ALNUM_LOWER).split())
     index = TemplateIndex(templates, threshold, word_frequencies(docs, vocabulary, text_col))
     spoken = [(p.encode().translate(ALNUM_LOWER).split(), label) for p, label in phrases]
     place = pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string())]))
     block = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("base", place), ("blocks", block)])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("base", place), ("blocks", block), ("windows", block)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_words = {p[-1] for p, _ in spoken}
         for batch in batches:
-            n_words, base, found = [], [], []
+            n_words, base, found, wide = [], [], [], []
             for raw in batch.column("text").cast(pa.binary()).to_pylist():
                 words = (raw or b"").translate(ALNUM_LOWER).split()
                 n_words.append(len(words))
                 base.append([] if last_words.isdisjoint(words) else _phrase_places(words, spoken))
                 found.append([])
+                wide.append([])
                 if index.prefix_words.isdisjoint(words):
                     continue  # the prefix filter, for all blocks at once
                 for at, part in blocks(line_words(raw)):
                     found[-1] += [{"first_word": at, "n_words": len(part), "label": index.labels[t], "containment": c} for t, c in index.match(part)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip((n_words, base, found), list(schema)[1:]))], schema=schema)
+                wide[-1] += [{"first_word": at, "n_words": n, "label": index.labels[t], "containment": c} for at, n, t, c in index.windows(words)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip((n_words, base, found, wide), list(schema)[1:]))], schema=schema)
 
-    ddl = ("doc_id long, n_words long, base array<struct<first_word: long, label: string>>, "
-           "blocks array<struct<first_word: long, n_words: long, label: string, containment: double>>")
+    matches = "array<struct<first_word: long, n_words: long, label: string, containment: double>>"
+    ddl = f"doc_id long, n_words long, base array<struct<first_word: long, label: string>>, blocks {matches}, windows {matches}"
     return id_text(docs, id_col, text_col).mapInArrow(run, ddl)

@@ -49,8 +49,8 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
                         F.array_min("base.first_word").alias("first_word"), F.array_max("base.first_word").alias("last_word"),
                         F.array_join(F.array_sort(F.array_distinct("base.label")), ",").alias("base_labels"),
-                        F.array_join(F.array_sort(F.array_union("base.label", "blocks.label")), ",").alias("labels"),
-                        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("blocks.containment"), F.lit(0.0))).alias("score"))
+                        F.array_join(F.array_sort(F.array_union(F.array_union("base.label", "blocks.label"), "windows.label")), ",").alias("labels"),
+                        F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max(F.concat("blocks.containment", "windows.containment")), F.lit(0.0))).alias("score"))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

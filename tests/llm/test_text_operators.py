@@ -1,6 +1,7 @@
 """Brute-force versions of the text operators on awkward rows."""
 import hashlib
 import re
+import textwrap
 from collections import Counter, defaultdict
 
 from tessera.llm import decontaminate, exact_dedup, license_scan, substring_dedup
@@ -168,6 +169,35 @@ def test_license_blocks(make_docs, awkward):
     assert sum(len(r.blocks) for r in got) >= 3
 
 
+def _brute_windows(text, templates):
+    """Every 2 n words from each n-th word on, as long as the window before did not reach the end."""
+    words, out = ALNUM.findall(_lower(text)), []
+    for label, template in templates:
+        needed = ALNUM.findall(_lower(template))
+        for at in range(0, max(1, len(words) - len(needed)), len(needed)):
+            shared = len(set(needed) & set(words[at:at + 2 * len(needed)]))
+            if shared >= 0.8 * len(set(needed)) - 1e-9 and shared:
+                out.append((at, min(2 * len(needed), len(words) - at), label, shared / len(set(needed))))
+    return sorted(out)
+
+
+def test_license_text_over_lines(make_docs, awkward):
+    """A header wrapped at 75 columns, far into a document, and a template longer than any run of a line."""
+    header = dict(license_scan.TEMPLATES)["apache-2.0-text"]
+    long = " ".join(f"clause{i}" for i in range(300))
+    templates = [*(t for t in license_scan.TEMPLATES if len(set(ALNUM.findall(_lower(t[1])))) >= 10), ("long", long)]
+    before = " ".join(f"filler{i}" for i in range(333))
+    rows = awkward + LICENSED + [(30, before + "\n" + textwrap.fill(header, 75) + "\n" + before), (31, textwrap.fill(before + " " + long, 75)), (32, long)]
+    rows += [(40 + i, textwrap.fill(text, 40)) for i, (_, text) in enumerate(templates)]
+    got = {(r.doc_id, r.n_words): r for r in license_scan.scan(make_docs(rows), templates=templates).collect()}
+    for d, text in rows:
+        r = got[d, len(ALNUM.findall(_lower(text)))]
+        assert sorted(map(tuple, r.windows)) == _brute_windows(text, templates)
+    labels = {d: {w.label for w in r.windows} for (d, _), r in got.items()}
+    assert "apache-2.0-text" in labels[30] and "long" in labels[31] & labels[32]
+    assert all(label in labels[40 + i] for i, (label, _) in enumerate(templates))
+
+
 def test_license_scan_of_nothing(make_docs):
     assert license_scan.scan(make_docs([])).collect() == []
     assert license_scan.scan(make_docs([(1, "mit license")]), templates=[("empty", "...")]).first().blocks == []
