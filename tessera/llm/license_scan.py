@@ -1,7 +1,8 @@
 """License scans as an exact set-similarity join.
 
 Text blocks are joined with the word sets of license templates: a block matches a
-template when it holds at least `threshold` of the template's distinct words.
+template when it holds at least `threshold` of the template's distinct words, and all of them when these are fewer
+than `SHORT_WORDS` (a notice, in which the one naming word must not be missing).
 Blocks are lines (long lines as overlapping runs of words) and, for text wrapped
 over lines and templates of any length, windows of the whole document: for a
 template of n words, 2 n words from every n-th word on, so any n words in a row
@@ -12,7 +13,7 @@ lie in a window.  The join is exact:
   the templates);
 * prefix filter: a matching block holds one of the template's first
   |T| - ceil(t |T|) + 1 words, which an inverted index answers;
-* length filter: it holds ceil(t |T|) template words at all;
+* length filter: it holds ceil(t |T|) template words at all (t = 1 for short ones);
 * positional filter: what follows the shared word on either side must suffice;
 * survivors are counted exactly.
 
@@ -57,6 +58,8 @@ TEMPLATES = (
     ("mpl-2.0-text", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 THRESHOLD = 0.8
+#: Fixed value: templates of fewer distinct words must be held whole.
+SHORT_WORDS = 15
 BLOCK_WORDS, BLOCK_STEP = 128, 64
 
 
@@ -91,7 +94,7 @@ class TemplateIndex:
         self.rank = {w: i for i, w in enumerate(words)}
         self.steps = [len(text.encode().translate(ALNUM_LOWER).split()) for _, text in templates]
         self.sets = [frozenset(self.rank[w] for w in s) for s in sets]
-        self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9)) for s in self.sets]
+        self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9) if len(s) >= SHORT_WORDS else len(s)) for s in self.sets]
         self.index: dict[int, list[tuple[int, int]]] = {}
         for t, s in enumerate(self.sets):
             for i, r in enumerate(sorted(s)[:max(0, len(s) - self.needed[t] + 1)]):

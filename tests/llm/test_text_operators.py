@@ -176,7 +176,7 @@ def _brute_windows(text, templates):
         needed = ALNUM.findall(_lower(template))
         for at in range(0, max(1, len(words) - len(needed)), len(needed)):
             shared = len(set(needed) & set(words[at:at + 2 * len(needed)]))
-            if shared >= 0.8 * len(set(needed)) - 1e-9 and shared:
+            if shared >= (0.8 if len(set(needed)) >= 15 else 1) * len(set(needed)) - 1e-9 and shared:
                 out.append((at, min(2 * len(needed), len(words) - at), label, shared / len(set(needed))))
     return sorted(out)
 
@@ -198,6 +198,17 @@ def test_license_text_over_lines(make_docs, awkward):
     assert all(label in labels[40 + i] for i, (label, _) in enumerate(templates))
 
 
+def test_short_notices_need_their_naming_words(make_docs):
+    others = ["Released under the Apache License, Version 2.0.", "Released under the GPL license", "Licensed under CC BY 4.0.",
+              "This work is licensed under the GNU General Public License, version 2.", "released under the old license of the house"]
+    notices = [(label, text) for label, text in license_scan.TEMPLATES if label.endswith("-notice")]
+    got = {r.doc_id: r for r in license_scan.scan(make_docs(list(enumerate(others + [text for _, text in notices])))).collect()}
+    for i in range(len(others)):
+        assert not got[i].blocks and not got[i].windows
+    for i, (label, _) in enumerate(notices, len(others)):
+        assert [(b.label, b.containment) for b in got[i].blocks] == [(w.label, w.containment) for w in got[i].windows] == [(label, 1.0)]
+
+
 def test_license_scan_of_nothing(make_docs):
     assert license_scan.scan(make_docs([])).collect() == []
     assert license_scan.scan(make_docs([(1, "mit license")]), templates=[("empty", "...")]).first().blocks == []
