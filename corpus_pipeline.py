@@ -37,7 +37,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights of their sources, in a global random order."""
-    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED).select(*docs.columns)
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED, null_ids="row").select(*docs.columns)
 
 
 def materialise_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,10 @@ the distribution tables, as many as there are weights, are a bounded broadcast.
 Means above 256 are drawn as sums of smaller ones, which is exact.
 
 Defined cases: sources without a weight, and null sources, keep the mean rate 1;
-weights of absent sources are spread over the present ones; a null id draws like
-the text "null"; repeated rows draw the same number of copies each and their
+weights of absent sources are spread over the present ones; null ids draw like the
+text "null", all alike (so they are copied or dropped as one lump), or with
+`null_ids="row"` from a hash of all columns of their row, at their source's rate, as
+the registered query and the pipeline do; repeated rows draw the same number of copies each and their
 copies are equal; empty and null texts are copied like any other; an empty table
 gives an empty result; all columns of the input are kept, those named copy,
 copies or shuffle_key are replaced.
@@ -55,7 +57,8 @@ def source_rates(docs: DataFrame, weights: dict[str, float], source_col: str = "
     return {s: weights[s] / share * total / n for s, n in counts.items()} if share > 0 else {}
 
 
-def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: str = "doc_id", source_col: str = "source",
+                null_ids: str = "together") -> DataFrame:
     """`docs` with the drawn number of copies (0 too) as a column `copies`."""
     tables = []
     for source, mean in sorted(source_rates(docs, weights, source_col).items()):
@@ -66,7 +69,8 @@ def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: s
     means = F.broadcast(docs.sparkSession.createDataFrame(tables, schema))  # one row a weight
     docs = docs.select(*(docs[c] for c in docs.columns if c != "copies"))
     names = list(docs.columns)
-    doc = F.coalesce(docs[id_col].cast("string"), F.lit("null"))
+    other = F.concat(F.lit("null:"), F.md5(F.to_json(F.struct(*(docs[c] for c in names))).cast("binary")))
+    doc = F.coalesce(docs[id_col].cast("string"), other if null_ids == "row" else F.lit("null"))
     joined = docs.withColumn("__mix_doc", doc).join(means, docs[source_col] == means["__mix_source"], "left")
     table = F.coalesce("__mix_table", F.array(*map(F.lit, poisson_table(1.0))))
     draw = lambda part: F.size(F.filter(table, lambda p: p <= uniform(F.lit(str(seed)), F.col("__mix_doc"), part.cast("string"))))
@@ -74,10 +78,11 @@ def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: s
     return joined.withColumn("copies", copies).select(*names, "copies", "__mix_doc")
 
 
-def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
+        null_ids: str = "together") -> DataFrame:
     """Copies of the documents in their global order: all columns of `docs`, and copy (from 1), copies, shuffle_key."""
     docs = docs.select(*(docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")))
-    drawn = with_copies(docs, weights, seed, id_col, source_col).where("copies > 0")
+    drawn = with_copies(docs, weights, seed, id_col, source_col, null_ids).where("copies > 0")
     rows = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), "__mix_doc", F.col("copy").cast("string")).cast("binary")), 1, 15), 16, 10)
     rows = rows.withColumn("shuffle_key", key.cast("long")).drop("__mix_doc")

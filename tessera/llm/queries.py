@@ -36,7 +36,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED).select("doc_id", "source", "copy", "copies", "shuffle_key", "text")
+    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED, null_ids="row").select("doc_id", "source", "copy", "copies", "shuffle_key", "text")
 
 
 def op4_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, pii, toxicity
+import corpus_pipeline
+from tessera.llm import mixing, pii, queries, toxicity
 
 
 # ---- mixing ---------------------------------------------------------------
@@ -57,6 +58,20 @@ def test_shares_reach_their_targets(spark):
     assert abs(got["a"] - 7_500) < 400 and abs(got["b"] - 22_500) < 800
 
 
+def test_rows_without_an_id_reach_their_rate(spark, tmp_path):
+    """In the registered query and the pipeline's stage; the same for any partitioning."""
+    docs = spark.range(8000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"),
+                                    F.when(F.col("id") % 4 == 0, "src0").when(F.col("id") % 4 < 3, "src1").otherwise("other").alias("source"),
+                                    F.lit(7).cast("long").alias("n_chars"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {"src0": 4000, "src1": 2000, "other": 2000}
+    for mixed in (queries.op3_mixing(spark, str(tmp_path)), corpus_pipeline.mix_sources(spark, docs, str(tmp_path))):
+        got = Counter(r.source for r in mixed.select("source").collect())
+        assert all(abs(got[s] - n) < 300 for s, n in want.items())
+    runs = [Counter((r.text, r.copy, r.shuffle_key) for r in mixing.mix(docs.repartition(p), {"src0": 2.0, "src1": 1.0}, null_ids="row").collect()) for p in (1, 5)]
+    assert runs[0] == runs[1] and len({k for *_, k in runs[0]}) == len(runs[0])
+
+
 def test_large_means_and_nothing(spark, make_docs):
     docs = spark.createDataFrame([(1, "rare")] + [(i, "common") for i in range(2, 3002)], "doc_id long, source string")
     copies = {r.source: r.copies for r in mixing.with_copies(docs, {"rare": 1.0, "common": 1.0}, 1).where("source = 'rare'").collect()}
