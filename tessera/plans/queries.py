@@ -652,11 +652,12 @@ from tessera.ml import train as TR  # noqa: E402
 
 MODEL_THRESHOLD = 0.5
 MODEL_SEED = 0
-MODEL_ITER = 20
+MODEL_ITER = 100
 # Registered grid: a slice of the reference grid (the full 720 combinations are
 # ``TR.REFERENCE_GRID``), kept small so the registered query runs in minutes.
 QUERY_GRID = {"eta": [0.15, 0.3], "max_depth": [2, 4]}
 GRID_FOLDS = 6
+GRID_ITER = 20
 REPEAT_RUNS = 3
 
 
@@ -737,7 +738,7 @@ def q_ml_repeat_eval(spark, sf):
 def _grid(spark, sf):
     def build():
         train, _, feats = _balanced(spark, sf)
-        table, best, default = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, MODEL_ITER, MODEL_SEED)
+        table, best, default = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, GRID_ITER, MODEL_SEED)
         return checkpoint(table), best, default
     return _memo(spark, ("grid", sf), build)
 
