@@ -132,3 +132,27 @@ FROM (SELECT *, unnest(range(1, copies + 1)) AS copy FROM drawn)
 
 
 SQL["op3_mixing"] = f"SELECT doc_id, source, copy, copies, shuffle_key, text FROM ({mix_sql('documents', MIX_WEIGHTS, MIX_SEED)})"
+
+#: Floors of 256-fold components are whole doubles, so list_dot_product is exact.
+SQL["op11_hard_negatives"] = """
+WITH q AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), a AS (SELECT * FROM q WHERE vec_id % 100 = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, q.vec_id, q.label, CAST(list_dot_product(a.v, q.v) AS BIGINT) AS score
+  FROM a JOIN q ON a.vec_id <> q.vec_id
+), positives AS (
+  SELECT anchor_id, anchor_label, vec_id AS positive_id, score AS positive_score FROM scores WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND s.label <> p.anchor_label
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) <= 10
+"""

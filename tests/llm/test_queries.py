@@ -9,7 +9,7 @@ from tessera.llm.oracle import SQL
 from tessera.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("documents", "benchmark", "labels")
+TABLES = ("documents", "benchmark", "labels", "embeddings")
 
 
 def _rows(frame: pd.DataFrame) -> list[tuple]:
@@ -27,5 +27,5 @@ def test_query_matches_sql(spark, name):
     assert _rows(got) == _rows(want)
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
