@@ -2,6 +2,7 @@
 import hashlib
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -75,10 +76,11 @@ def test_empty_table(spark, make_docs):
 def test_packed_alignment_gives_byte_spans(plain):
     aligner = A.load(BYTE_BPE, PIECE_BPE)
     for text in [t for t in ODD if plain(t)[0]]:
-        (digits, a, b), = aligner.aligned([text])
+        found = aligner.aligned([text])
+        (digits,), (a,), (b,) = aligner.groups_text(found), found.packed("a"), found.packed("b")
         raw, at = b" " + text.encode(), 0
         groups = aligner.groups(a, b)
-        assert digits == plain(text)[2] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for *_, x, y in groups)
+        assert digits.decode() == plain(text)[2] == ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for *_, x, y in groups)
         for start, end, ids_a, ids_b in groups:
             assert start == at and b"".join(aligner.bytes_a[i] for i in ids_a) == b"".join(aligner.bytes_b[i] for i in ids_b) == raw[start:end]
             at = end
@@ -86,19 +88,28 @@ def test_packed_alignment_gives_byte_spans(plain):
 
 
 def test_spans_are_refined_by_decoded_bytes():
-    assert A.refined_ends([(0, 1), (1, 4), (4, 5)], [b"a", b"\xe6\x97\xa5", b"b"]) == [1, 4, 5]
+    widths = lambda spans, lengths: A.refined_widths(*np.array(spans).T, np.array(lengths)).tolist()
+    assert widths([(0, 1), (1, 4), (4, 5)], [1, 3, 1]) == [1, 3, 1]
     # two pieces of one three-byte character, both reported with its whole span; then one that goes on after it
-    assert A.refined_ends([(0, 3), (0, 3), (3, 4)], [b"\xe6\x97", b"\xa5", b"x"]) == [2, 3, 4]
-    assert A.refined_ends([(1, 3)], [b" ab"]) == [3]
+    assert widths([(0, 3), (0, 3), (3, 4)], [2, 1, 1]) == [2, 1, 1]
+    assert widths([(1, 3)], [3]) == [3]
 
 
 def test_words_are_kept_over_two_generations(monkeypatch, plain):
     monkeypatch.setattr(A, "_CACHE_UNITS", 3)
     aligner = A.Aligner(BYTE_BPE, PIECE_BPE)
-    texts = [f"alpha beta w{i} v{i} alpha" for i in range(20)]
+    texts = [f"alpha beta w{i} v{i}\nalpha" for i in range(20)]
     for t in texts:
-        assert aligner.aligned([t])[0][0] == plain(t)[2]
-    assert len(aligner._recent) + len(aligner._before) < 16
+        assert aligner.groups_text(aligner.aligned([t]))[0].decode() == plain(t)[2]
+    assert len(aligner._recent.index) + len(aligner._before.index) < 16
+
+
+def test_texts_share_a_cache_without_mixing_their_beginnings(plain):
+    aligner = A.Aligner(BYTE_BPE, PIECE_BPE)
+    texts = ["\na b", "x\na b", " a", "a", "x a", "\n\na", "x\n\na", "日\n本", "a\u2581b", "a\n\u2581b", "", None, "x\n'll"]
+    for some in (texts, texts[::-1]):
+        got = [g.decode() for g in aligner.groups_text(aligner.aligned(some))]
+        assert got == [plain(t)[2] for t in some]
 
 
 def test_registered_query(spark, plain):
