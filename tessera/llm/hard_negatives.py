@@ -79,9 +79,13 @@ def tiled(rows: DataFrame, n: int, order: list[int], tile_rows: int) -> DataFram
         tie = F.pmod(F.xxhash64("vec_id", F.lit(level)), F.lit(1 << 20)) / float(1 << 20)
         value = F.col("label") if level == 0 else F.coalesce(F.get("v", F.lit(order[level - 1])), F.lit(0))
         out = out.withColumn("place", value.cast("double") + tie)
-        cuts = out.groupBy("tile").agg(F.percentile_approx("place", fractions, F.lit(10_000)).alias("cuts"))
+        quantiles = F.percentile_approx("place", fractions, F.lit(10_000)).alias("cuts")
+        if level == 0:  # one tile still: its cuts are a few numbers
+            out = out.withColumn("cuts", F.array(*[F.lit(c) for c in out.agg(quantiles).first()["cuts"]]))
+        else:
+            out = out.join(out.groupBy("tile").agg(quantiles), "tile")
         slab = F.aggregate("cuts", F.lit(0).cast("long"), lambda s, c: s + (F.col("place") > c).cast("long"))
-        out = out.join(cuts, "tile").withColumn("tile", F.col("tile") * slabs + slab).drop("cuts", "place")
+        out = out.withColumn("tile", F.col("tile") * slabs + slab).drop("cuts", "place")
     return out
 
 
