@@ -6,13 +6,15 @@ the input never matter.
 """
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.session import checkpoint, ensure_checkpoint_dir
 
-__all__ = ["table", "id_text", "checkpoint", "ensure_checkpoint_dir", "tasks", "input_tasks",
+__all__ = ["table", "id_text", "checkpoint", "ensure_checkpoint_dir", "forget", "tasks", "input_tasks",
            "ALNUM_LOWER", "WORD_BREAK_SQL", "ALNUM_BREAK_SQL", "segment_ids"]
 
 #: Words of the "alphanumeric" kind are runs of [^\x00-\x2F\x3A-\x60\x7B-\x7F]
@@ -46,6 +48,14 @@ def input_tasks(df: DataFrame) -> int:
     return df.rdd.getNumPartitions()
 
 
+def forget(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files (and, with spark.cleaner.referenceTracking.cleanCheckpoints, the
+    checkpoints) of frames that nothing refers to any more; else they stay until the driver happens to
+    collect its garbage, so that a job of many rounds would hold the files of all of them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def segment_ids(lengths: np.ndarray) -> np.ndarray:
     """0 repeated lengths[0] times, 1 repeated lengths[1] times, ..."""
     return np.repeat(np.arange(len(lengths)), lengths)

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import checkpoint, id_text
+from tessera.llm.common import checkpoint, forget, id_text
 from tessera.llm.components import components
 from tessera.llm.substring_dedup import WordHashes, window_hashes
 
@@ -204,6 +204,7 @@ def _joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
 def _link(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, size: int, percent: int) -> DataFrame | None:
     """Labels after every pair (a, b, matches) that joins two components was verified (None: nothing linked yet)."""
     rest = pairs
+    del pairs
     for attempt in range(2):
         if labels is not None:
             rest = checkpoint(_labelled(rest.select("a", "b", "matches"), labels).where("ca <> cb").select("a", "b", "matches"))
@@ -219,6 +220,8 @@ def _link(pairs: DataFrame, labels: DataFrame | None, docs: DataFrame, size: int
         rest = rest.join(chosen, ["a", "b"], "left_anti")
         if not links.isEmpty():
             labels = _joined(labels, links)
+        del links, chosen
+        forget(docs.sparkSession)
     return labels
 
 
@@ -299,8 +302,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     bands = classes.select("rep", F.posexplode(_band_keys(F.col("sig"))).alias("band", "key"))
     buckets = checkpoint(bands.groupBy("key").agg(F.min("rep").alias("pivot"), F.max("rep").alias("last"), F.count("*").alias("held")).where("pivot <> last"))
     star = bands.join(buckets.select("key", "pivot"), "key").where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    tested = checkpoint(_survivors(star, classes, needed, threshold))
-    labels = _link(tested, labels, texts, size, percent)
+    labels = _link(checkpoint(_survivors(star, classes, needed, threshold)), labels, texts, size, percent)
+    del star
+    forget(docs.sparkSession)
     if labels is None:
         labels = members.select(F.col("rep").alias("v"), F.col("rep").alias("c")).distinct()
 
@@ -309,6 +313,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
     inside = checkpoint(inside.select("key", "band", "pivot", "held", "rep", F.coalesce("c", "rep").alias("comp")))
     split = inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     opened = checkpoint(inside.join(split.select("key"), "key"))
+    del bands, buckets, larger, inside, split
+    forget(docs.sparkSession)
     if not opened.isEmpty():
         few = opened.select(F.col("rep").alias("doc_id")).distinct()
         members_of = (texts.join(F.broadcast(few), "doc_id", "left_semi") if few.count() <= 2 * SMALL_PAIRS
@@ -316,8 +322,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, size: int = S
         blocks = _block_pairs(opened)
         full_rows = blocks.join(classes.select("rep", "n", "sig"), "rep").join(members_of, "rep")
         links = checkpoint(full_rows.groupBy("key", "p", "q").applyInPandas(_cross_links(needed, threshold, size, percent), "a long, b long").distinct())
+        del few, members_of, blocks, full_rows
         if not links.isEmpty():
             labels = _joined(labels, links)
+        del links
+    del opened, classes
+    forget(docs.sparkSession)
 
     named = members.join(labels.select(F.col("v").alias("rep"), "c"), "rep", "left").select("doc_id", F.coalesce("c", "rep").alias("c"))
     named = checkpoint(named.groupBy("doc_id").agg(F.min("c").alias("component_id")))
