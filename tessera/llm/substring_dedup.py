@@ -3,18 +3,22 @@
 1. Map: each task takes its documents in chunks of about a million words, hashes
    every window of `window` consecutive words (polynomial over 64-bit word
    hashes, modulo 2^64) and sorts the hashes.  Of a hash's occurrences in the
-   chunk only those of its smallest document go on; the others are already
-   known to repeat, so a hot passage costs one entry for each chunk, however
-   many documents hold it.  Entries are dealt by hash range and packed (hash
-   steps and positions in byte planes), about nine bytes a window.
+   chunk only those of its smallest document are left to count, dealt by hash
+   range and packed (hash steps and positions in byte planes), about nine bytes a
+   window; the others repeat already, and go to their documents' group (step 3) at
+   once.  So a hot passage costs its hash range one entry for each chunk, however
+   many documents hold it.
 2. Count: one task for each hash range finds the hashes that start in several
-   documents and reports every occurrence outside the smallest document.
+   documents and reports every occurrence outside the smallest document.  With more
+   than FAN ranges the entries are dealt twice, to FAN coarse ranges first, where those of
+   many chunks are packed together, so that a row never shrinks to a few windows.
 3. The positions come back packed by groups of documents, where overlapping
    windows merge into maximal removal intervals, one row a document; joined with
    their document, the covered words are removed.
 
-Ranges are sized from the corpus (about two million windows each), so a task's
-memory does not grow with the data.  Two different windows share a hash with
+Ranges are sized from the corpus (about two million windows each) and get no more than one
+entry a chunk for each hash, groups of documents likewise, so a task's memory does not grow
+with the data.  Two different windows share a hash with
 probability 2^-64 a pair; matches are not compared word by word again.
 
 Defined cases: a null text has no words; a document shorter than the window
@@ -88,20 +92,47 @@ def _unplanes(packed: bytes, kind) -> np.ndarray:
     return np.ascontiguousarray(raw.T).view(kind).ravel()
 
 
-def _pack(hashes: np.ndarray, at: np.ndarray, known: np.ndarray, docs: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> list[bytes]:
-    """hashes ascending with their word numbers `at` in the chunk; `known` are word numbers already known to repeat."""
-    known = np.sort(known)
-    used = np.unique(np.searchsorted(starts, np.concatenate([at, known]), side="right") - 1)
-    return [_planes(np.diff(hashes, prepend=np.uint64(0))), _planes(at), _planes(np.diff(known, prepend=np.uint32(0))),
-            _planes(np.diff(docs[used], prepend=0)), _planes(tags[used]), _planes(starts[used])]
+def _pack(hashes: np.ndarray, at: np.ndarray, docs: np.ndarray, tags: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """hashes ascending, with their word numbers `at` in a run of documents that start at `starts`."""
+    used = np.unique(np.searchsorted(starts, at, side="right") - 1)
+    return [_planes(np.diff(hashes, prepend=np.uint64(0))), _planes(at), _planes(docs[used]), _planes(tags[used]), _planes(starts[used])]
 
 
-_PARTS = ("h", "at", "known", "docs", "tags", "starts")
-_ENTRIES = "bucket int, h binary, at binary, known binary, docs binary, tags binary, starts binary"
+def _by_part(docs: np.ndarray, tags: np.ndarray, refs: np.ndarray, at: np.ndarray, parts: int) -> list[tuple]:
+    """(part, docs, tags, counts, at) for each group of documents: repeated window positions `at` of the documents `refs`."""
+    part = ((docs.view(np.uint64) * _MIX ^ tags.view(np.uint64)) % np.uint64(parts)).astype(np.int32)[refs]
+    order = np.lexsort((at, refs, part))
+    at, refs, part = at[order].astype(np.uint32), refs[order], part[order]
+    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else np.zeros(0, np.int64)
+    rows = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        used, counts = np.unique(refs[a:b], return_counts=True)
+        rows.append((int(part[a]), _planes(docs[used]), _planes(tags[used]), _planes(counts.astype(np.uint32)), _planes(at[a:b])))
+    return rows
+
+
+def _cut(hashes: np.ndarray, first: int, last: int, ranges: int) -> np.ndarray:
+    """Places in ascending hashes where the ranges first .. last - 1 of `ranges` begin, and the end."""
+    edges = np.array([(b << 64) // ranges for b in range(first, last)], np.uint64)
+    return np.r_[np.searchsorted(hashes, edges), len(hashes)]
 
 
-def _map_chunks(window: int, buckets: int, chunk_words: int):
-    schema = pa.schema([("bucket", pa.int32()), *((p, pa.binary()) for p in _PARTS)])
+#: Ranges that entries are dealt to at a time.
+FAN = 1024
+#: From this number on, a bucket is a group of documents, whose rows need no counting.
+_DIRECT = 1 << 30
+_PARTS = ("h", "at", "docs", "tags", "starts")
+_ENTRIES = "bucket int, h binary, at binary, docs binary, tags binary, starts binary"
+_ENTRY_SCHEMA = pa.schema([("bucket", pa.int32()), *((p, pa.binary()) for p in _PARTS)])
+
+
+def _entry_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[]] * len(_ENTRY_SCHEMA)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _ENTRY_SCHEMA)], schema=_ENTRY_SCHEMA)
+
+
+def _map_chunks(window: int, buckets: int, parts_of_docs: int, chunk_words: int):
+    """Entries of the hash ranges 0 .. buckets - 1, and positions known to repeat for the groups of documents."""
 
     def chunk(parts: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
         docs = np.array([d for d, _, _ in parts], np.int64)
@@ -119,12 +150,12 @@ def _map_chunks(window: int, buckets: int, chunk_words: int):
         first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
         smallest = np.repeat(np.minimum.reduceat(owner, first), np.diff(np.r_[first, len(hashes)]))
         keep = owner == smallest
-        kept_h, kept_at, known_h, known_at = hashes[keep], at[keep], hashes[~keep], at[~keep]
-        edges = np.array([(b << 64) // buckets for b in range(buckets)], np.uint64)
-        cut, known_cut = (np.r_[np.searchsorted(x, edges), len(x)] for x in (kept_h, known_h))
-        rows = [(b, *_pack(kept_h[cut[b]:cut[b + 1]], kept_at[cut[b]:cut[b + 1]], known_at[known_cut[b]:known_cut[b + 1]], docs, tags, starts))
-                for b in range(buckets) if cut[b] < cut[b + 1]]
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        kept_h, kept_at, known_at = hashes[keep], at[keep], at[~keep]
+        cut = _cut(kept_h, 0, buckets, buckets)
+        rows = [(b, *_pack(kept_h[cut[b]:cut[b + 1]], kept_at[cut[b]:cut[b + 1]], docs, tags, starts)) for b in range(buckets) if cut[b] < cut[b + 1]]
+        refs = np.searchsorted(starts, known_at, side="right") - 1
+        rows += [(_DIRECT + part, b"", where, d, t, counts) for part, d, t, counts, where in _by_part(docs, tags, refs, known_at - starts[refs], parts_of_docs)]
+        return _entry_batch(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, parts, held = WordHashes(), [], 0
@@ -145,44 +176,72 @@ def _map_chunks(window: int, buckets: int, chunk_words: int):
     return run
 
 
-def _count_range(entries: pd.DataFrame, parts: int) -> pd.DataFrame:
-    """Occurrences, in one hash range, of windows that also start in a smaller document: one row for each of
-    `parts` groups of documents."""
-    hashes, owners, at, refs, known, known_refs = [], [], [], [], [], []
-    docs, tags, base = [], [], 0
-    for row in entries.itertuples(index=False):
-        ids, marks, starts = np.cumsum(_unplanes(row.docs, np.int64)), _unplanes(row.tags, np.int64), _unplanes(row.starts, np.uint32)
-        where = _unplanes(row.at, np.uint32)
+def _entries_of(rows) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """hash, document reference and position of all windows of packed rows, and the documents' ids and tags."""
+    hashes, refs, at, docs, tags, base = [], [], [], [], [], 0
+    for h, packed_at, ids, marks, starts in rows:
+        ids, starts, where = _unplanes(ids, np.int64), _unplanes(starts, np.uint32), _unplanes(packed_at, np.uint32)
         doc = np.searchsorted(starts, where, side="right") - 1
-        hashes.append(np.cumsum(_unplanes(row.h, np.uint64), dtype=np.uint64))
-        owners.append(ids[doc])
+        hashes.append(np.cumsum(_unplanes(h, np.uint64), dtype=np.uint64))
         at.append(where - starts[doc])
         refs.append((doc + base).astype(np.int32))
-        where = np.cumsum(_unplanes(row.known, np.uint32), dtype=np.uint32)
-        doc = np.searchsorted(starts, where, side="right") - 1
-        known.append(where - starts[doc])
-        known_refs.append((doc + base).astype(np.int32))
         docs.append(ids)
-        tags.append(marks)
+        tags.append(_unplanes(marks, np.int64))
         base += len(ids)
-    h, owner = np.concatenate(hashes), np.concatenate(owners)
+    return tuple(map(np.concatenate, (hashes, refs, at, docs, tags)))
+
+
+def _resplit(coarse: int, per: int, chunk_words: int):
+    """Entries of coarse ranges as entries of `per` times as many ranges, those of many chunks in one row."""
+
+    def flush(bucket: int, rows: list[tuple]) -> pa.RecordBatch:
+        h, refs, at, docs, tags = _entries_of(rows)
+        order = np.argsort(h, kind="stable")
+        h, refs, at = h[order], refs[order], at[order]
+        longest = np.zeros(len(docs), np.int64)
+        np.maximum.at(longest, refs, at.astype(np.int64) + 1)
+        starts = np.cumsum(longest) - longest  # the documents one after the other, each as long as its last window's place
+        where, starts = (starts[refs] + at).astype(np.uint32), starts.astype(np.uint32)
+        cut = _cut(h, bucket * per, (bucket + 1) * per, coarse * per)
+        return _entry_batch([(bucket * per + b, *_pack(h[cut[b]:cut[b + 1]], where[cut[b]:cut[b + 1]], docs, tags, starts))
+                             for b in range(per) if cut[b] < cut[b + 1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        sizes: dict[int, int] = {}
+        for batch in batches:
+            direct = []
+            for bucket, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket >= _DIRECT:
+                    direct.append((bucket, *parts))
+                    continue
+                held.setdefault(bucket, []).append(tuple(parts))
+                sizes[bucket] = sizes.get(bucket, 0) + len(parts[0]) + len(parts[1])
+                if sizes[bucket] >= 4 * chunk_words:  # some bytes a window
+                    yield flush(bucket, held.pop(bucket))
+                    sizes[bucket] = 0
+            if direct:
+                yield _entry_batch(direct)
+        for bucket, rows in held.items():
+            yield flush(bucket, rows)
+
+    return run
+
+
+def _count_range(entries: pd.DataFrame, parts: int) -> pd.DataFrame:
+    """Occurrences, in one hash range, of windows that also start in a smaller document: one row for each of
+    `parts` groups of documents.  Rows that are for a group already pass through."""
+    columns = ["part", "docs", "tags", "counts", "at"]
+    bucket = int(entries["bucket"].iloc[0])
+    if bucket >= _DIRECT:
+        return pd.DataFrame({"part": bucket - _DIRECT, "docs": entries["docs"], "tags": entries["tags"], "counts": entries["starts"], "at": entries["at"]})[columns]
+    h, refs, at, docs, tags = _entries_of(zip(*(entries[c] for c in _PARTS)))
     order = np.argsort(h)
-    h, owner = h[order], owner[order]
+    h, owner = h[order], docs[refs[order]]
     first = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     again = owner > np.repeat(np.minimum.reduceat(owner, first), np.diff(np.r_[first, len(h)]))
     hit = order[again]
-    at = np.concatenate([np.concatenate(at)[hit], *known])
-    refs = np.concatenate([np.concatenate(refs)[hit], *known_refs])
-    docs, tags = np.concatenate(docs), np.concatenate(tags)
-    part = ((docs.view(np.uint64) * _MIX ^ tags.view(np.uint64)) % np.uint64(parts)).astype(np.int32)[refs]
-    order = np.lexsort((at, refs, part))
-    at, refs, part = at[order].astype(np.uint32), refs[order], part[order]
-    edges = np.flatnonzero(np.diff(part, prepend=-1, append=-1)) if len(part) else np.zeros(0, np.int64)
-    rows = []
-    for a, b in zip(edges[:-1], edges[1:]):
-        used, counts = np.unique(refs[a:b], return_counts=True)
-        rows.append((part[a], _planes(docs[used]), _planes(tags[used]), _planes(counts.astype(np.uint32)), _planes(at[a:b])))
-    return pd.DataFrame(rows, columns=["part", "docs", "tags", "counts", "at"])
+    return pd.DataFrame(_by_part(docs, tags, refs[hit], at[hit], parts), columns=columns)
 
 
 def _merge_part(window: int):
@@ -222,11 +281,16 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col)
     size = rows.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    buckets = max(tasks(spark), size // 12_000_000)  # some six characters a word
+    ranges = max(tasks(spark), size // 12_000_000)  # some six characters a word
+    coarse = min(ranges, FAN)
+    per = -(-ranges // coarse)
+    buckets = coarse * per
     repeated_ids = not rows.groupBy("doc_id").count().where("count > 1 and doc_id is not null").isEmpty()
     # tells rows with the same id apart
     rows = rows.withColumn("tag", F.xxhash64("text") if repeated_ids else F.lit(0).cast("long"))
-    entries = rows.where("doc_id is not null and text is not null").mapInArrow(_map_chunks(window, buckets, chunk_words), _ENTRIES)
+    entries = rows.where("doc_id is not null and text is not null").mapInArrow(_map_chunks(window, coarse, buckets, chunk_words), _ENTRIES)
+    if per > 1:
+        entries = entries.repartition(2 * coarse, "bucket").mapInArrow(_resplit(coarse, per, chunk_words), _ENTRIES)
     found = (entries.repartition(buckets, "bucket").groupBy("bucket")
              .applyInPandas(lambda rows: _count_range(rows, buckets), "part int, docs binary, tags binary, counts binary, at binary"))
     found = (found.repartition(buckets, "part").groupBy("part")
