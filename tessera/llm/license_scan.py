@@ -1,8 +1,9 @@
 """License scans as an exact set-similarity join.
 
 Text blocks are joined with the word sets of license templates: a block matches a
-template when it holds at least `threshold` of the template's distinct words, and all of them when these are fewer
-than `SHORT_WORDS` (a notice, in which the one naming word must not be missing).
+template when it holds at least the template's share of its distinct words (`thresholds` by label, else
+`threshold`) and all of its naming words (`naming` by label): a notice of a few words must be held whole, and
+a text that differs from another license's in one name needs that name.
 Blocks are lines (long lines as overlapping runs of words) and, for text wrapped
 over lines and templates of any length, windows of the whole document: for a
 template of n words, 2 n words from every n-th word on, so any n words in a row
@@ -13,7 +14,7 @@ lie in a window.  The join is exact:
   the templates);
 * prefix filter: a matching block holds one of the template's first
   |T| - ceil(t |T|) + 1 words, which an inverted index answers;
-* length filter: it holds ceil(t |T|) template words at all (t = 1 for short ones);
+* length filter: it holds ceil(t |T|) template words at all;
 * positional filter: what follows the shared word on either side must suffice;
 * survivors are counted exactly.
 
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,8 +59,10 @@ TEMPLATES = (
     ("mpl-2.0-text", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 THRESHOLD = 0.8
-#: Fixed value: templates of fewer distinct words must be held whole.
-SHORT_WORDS = 15
+#: Templates with a share of their own: notices, of which every word counts.
+THRESHOLDS = {"mit-notice": 1.0, "apache-2.0-notice": 1.0, "gpl-3.0-notice": 1.0, "cc-by-nc-4.0-notice": 1.0, "cc-by-4.0-notice": 1.0}
+#: Words without which a text is another license's.
+NAMING = {"mpl-2.0-text": ("mozilla",), "gpl-text": ("gnu", "general", "public")}
 BLOCK_WORDS, BLOCK_STEP = 128, 64
 
 
@@ -87,14 +90,16 @@ def blocks(lines: list[list[bytes]]) -> Iterator[tuple[int, list[bytes]]]:
 class TemplateIndex:
     """Inverted index over the prefixes of frequency-ordered template word sets."""
 
-    def __init__(self, templates: Sequence[tuple[str, str]], threshold: float, frequency: dict[bytes, int]):
+    def __init__(self, templates: Sequence[tuple[str, str]], threshold: float, frequency: dict[bytes, int],
+                 thresholds: Mapping[str, float] = THRESHOLDS, naming: Mapping[str, Sequence[str]] = NAMING):
         self.labels = [label for label, _ in templates]
         sets = [set(text.encode().translate(ALNUM_LOWER).split()) for _, text in templates]
         words = sorted(set().union(*sets), key=lambda w: (frequency.get(w, 0), w))
         self.rank = {w: i for i, w in enumerate(words)}
         self.steps = [len(text.encode().translate(ALNUM_LOWER).split()) for _, text in templates]
         self.sets = [frozenset(self.rank[w] for w in s) for s in sets]
-        self.needed = [max(1, math.ceil(threshold * len(s) - 1e-9) if len(s) >= SHORT_WORDS else len(s)) for s in self.sets]
+        self.needed = [max(1, math.ceil(thresholds.get(label, threshold) * len(s) - 1e-9)) for label, s in zip(self.labels, self.sets)]
+        self.named = [frozenset(self.rank.get(w.encode(), -1) for w in naming.get(label, ())) for label in self.labels]
         self.index: dict[int, list[tuple[int, int]]] = {}
         for t, s in enumerate(self.sets):
             for i, r in enumerate(sorted(s)[:max(0, len(s) - self.needed[t] + 1)]):
@@ -116,7 +121,7 @@ class TemplateIndex:
                     continue
                 tried.add(t)
                 shared = len(self.sets[t].intersection(ranks))
-                if shared >= need:
+                if shared >= need and self.named[t].issubset(ranks):
                     out.append((t, shared / len(self.sets[t])))
         return sorted(out)
 
@@ -127,15 +132,16 @@ class TemplateIndex:
         present = {r for _, r in placed}
         out = []
         for t, (wanted, need, step) in enumerate(zip(self.sets, self.needed, self.steps)):
-            if len(wanted & present) < need:
+            if len(wanted & present) < need or not self.named[t] <= present:
                 continue
             parts: dict[int, set[int]] = {}  # the template's words in each run of `step` words
             for i, r in placed:
                 if r in wanted:
                     parts.setdefault(i // step, set()).add(r)
             for k in sorted({k for part in parts for k in (part - 1, part) if k == 0 or k > 0 and (k + 1) * step < len(words)}):
-                shared = len(parts.get(k, set()) | parts.get(k + 1, set()))
-                if shared >= need:
+                held = parts.get(k, set()) | parts.get(k + 1, set())
+                shared = len(held)
+                if shared >= need and self.named[t] <= held:
                     out.append((k * step, min(2 * step, len(words) - k * step), t, shared / len(wanted)))
         return out
 
@@ -155,24 +161,28 @@ def word_frequencies(docs: DataFrame, words: frozenset[bytes], text_col: str = "
 
 
 def _phrase_places(words: list[bytes], phrases: list[tuple[list[bytes], str]]) -> list[dict]:
-    out = []
+    """Places of the phrases; one walk over the words, however often a phrase's last word stands there."""
+    last_words: dict[bytes, list[tuple[list[bytes], str]]] = {}
     for phrase, label in phrases:
-        at = -1
-        while phrase[-1] in words[at + 1:]:
-            at = words.index(phrase[-1], at + 1)
-            first = at - len(phrase) + 1
-            if first >= 0 and words[first:at + 1] == phrase:
-                out.append({"first_word": first, "label": label})
+        last_words.setdefault(phrase[-1], []).append((phrase, label))
+    out = []
+    for at, word in enumerate(words):
+        if word in last_words:
+            for phrase, label in last_words[word]:
+                first = at - len(phrase) + 1
+                if first >= 0 and words[first:at + 1] == phrase:
+                    out.append({"first_word": first, "label": label})
     return sorted(out, key=lambda p: (p["first_word"], p["label"]))
 
 
 def scan(docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD,
-         phrases: Sequence[tuple[str, str]] = PHRASES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         phrases: Sequence[tuple[str, str]] = PHRASES, id_col: str = "doc_id", text_col: str = "text",
+         thresholds: Mapping[str, float] = THRESHOLDS, naming: Mapping[str, Sequence[str]] = NAMING) -> DataFrame:
     """One row for each document: doc_id, n_words, base (places of the phrases:
     first_word, label), blocks and windows (matches of the join with lines and with
     windows of the document: first_word, n_words, label, containment)."""
     vocabulary = frozenset(w for _, text in templates for w in text.encode().translate(ALNUM_LOWER).split())
-    index = TemplateIndex(templates, threshold, word_frequencies(docs, vocabulary, text_col))
+    index = TemplateIndex(templates, threshold, word_frequencies(docs, vocabulary, text_col), thresholds, naming)
     spoken = [(p.encode().translate(ALNUM_LOWER).split(), label) for p, label in phrases]
     place = pa.list_(pa.struct([("first_word", pa.int64()), ("label", pa.string())]))
     block = pa.list_(pa.struct([("first_word", pa.int64()), ("n_words", pa.int64()), ("label", pa.string()), ("containment", pa.float64())]))
