@@ -57,6 +57,10 @@ def source_rates(docs: DataFrame, weights: dict[str, float], source_col: str = "
     return {s: weights[s] / share * total / n for s, n in counts.items()} if share > 0 else {}
 
 
+#: Columns that mixing adds.
+ADDED = ("copy", "copies", "shuffle_key")
+
+
 def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: str = "doc_id", source_col: str = "source",
                 null_ids: str = "together") -> DataFrame:
     """`docs` with the drawn number of copies (0 too) as a column `copies`."""
@@ -81,7 +85,7 @@ def with_copies(docs: DataFrame, weights: dict[str, float], seed: int, id_col: s
 def mix(docs: DataFrame, weights: dict[str, float], seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
         null_ids: str = "together") -> DataFrame:
     """Copies of the documents in their global order: all columns of `docs`, and copy (from 1), copies, shuffle_key."""
-    docs = docs.select(*(docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")))
+    docs = docs.select(*(docs[c] for c in docs.columns if c not in ADDED))
     drawn = with_copies(docs, weights, seed, id_col, source_col, null_ids).where("copies > 0")
     rows = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     key = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(f"{seed}-order"), "__mix_doc", F.col("copy").cast("string")).cast("binary")), 1, 15), 16, 10)

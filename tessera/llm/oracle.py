@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from tessera.llm.common import ALNUM_BREAK_SQL, WORD_BREAK_SQL
 from tessera.llm.queries import MIX_SEED, MIX_WEIGHTS
-from tessera.llm.license_scan import BLOCK_STEP, BLOCK_WORDS, PHRASES, TEMPLATES, THRESHOLD
+from tessera.llm.license_scan import BLOCK_STEP, BLOCK_WORDS, NAMING, PHRASES, TEMPLATES, THRESHOLD, THRESHOLDS
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ALNUM = f"regexp_extract_all({_LOWER}, '{ALNUM_BREAK_SQL}')"
@@ -18,10 +18,13 @@ f AS (SELECT win, min(doc_id) AS first_doc FROM k GROUP BY win HAVING count(DIST
 r AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q FROM k JOIN f USING (win) WHERE doc_id > first_doc),
 x AS (SELECT d.doc_id, q, word, r.doc_id IS NULL AS stays
       FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d) d LEFT JOIN r USING (doc_id, q)),
-a AS (SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (stays) AS kept
-      FROM x GROUP BY doc_id)
+y AS (SELECT *, lag(stays) OVER (PARTITION BY doc_id ORDER BY q) AS stayed FROM x),
+a AS (SELECT doc_id, count(*) FILTER (NOT stays) AS n_removed, string_agg(word, ' ' ORDER BY q) FILTER (stays) AS kept,
+             count(*) FILTER (NOT stays AND coalesce(stayed, true)) AS n_intervals
+      FROM y GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
-  sha256(coalesce(kept, '')) AS kept_sha256
+  sha256(coalesce(kept, '')) AS kept_sha256, CAST(length(coalesce(kept, '')) AS BIGINT) AS kept_chars,
+  CAST(coalesce(n_intervals, 0) AS BIGINT) AS n_intervals
 FROM d LEFT JOIN a USING (doc_id)
 """
 
@@ -36,21 +39,25 @@ dw AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d) CROSS JOIN (SELECT DISTINCT n FROM iw) s
   WHERE p + s.n - 1 <= len(w)),
 m AS (SELECT doc_id, p, dw.n, item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
-hit AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY doc_id),
+hw AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS q FROM m),
+hit AS (SELECT doc_id, count(*) AS n_hit, count(*) FILTER (before IS NULL OR before < q - 1) AS n_spans
+        FROM (SELECT doc_id, q, lag(q) OVER (PARTITION BY doc_id ORDER BY q) AS before FROM hw) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM m) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AS contaminated
+  coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
 def _license_sql() -> str:
-    """Base phrases by position; template containment by counting shared distinct words of every block."""
+    """Base phrases by position; containment by counting a template's distinct words in every line block, and in every
+    window of twice its length that begins at a multiple of its length."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     phrases = ", ".join(f"({quote(p)}, {len(p.split())}, {quote(label)})" for p, label in PHRASES)
-    templates = ", ".join(f"({i}, {quote(label)}, {quote(text)})" for i, (label, text) in enumerate(TEMPLATES))
+    named = lambda label: "[" + ", ".join(quote(w) for w in NAMING.get(label, ())) + "]::VARCHAR[]"
+    templates = ", ".join(f"({i}, {quote(label)}, {quote(text)}, {THRESHOLDS.get(label, THRESHOLD)}::DOUBLE, {named(label)})" for i, (label, text) in enumerate(TEMPLATES))
     lower = _LOWER
     return f"""
 WITH d AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
@@ -63,12 +70,19 @@ lw AS (SELECT doc_id, row_number() OVER () AS line_no, regexp_extract_all(line,
 bl AS (SELECT doc_id, line_no, i, unnest(list_distinct(w[i + 1:i + {BLOCK_WORDS}])) AS word
        FROM (SELECT doc_id, line_no, w, unnest(CASE WHEN len(w) <= {BLOCK_WORDS} THEN [0] ELSE range(0, len(w) - {BLOCK_WORDS - BLOCK_STEP}, {BLOCK_STEP}) END) AS i
              FROM lw)),
-t(t, label, text) AS (VALUES {templates}),
-tw AS (SELECT t, label, unnest(list_distinct(regexp_extract_all({lower}, '{ALNUM_BREAK_SQL}'))) AS word FROM t),
-tn AS (SELECT t, label, count(*) AS size FROM tw GROUP BY t, label),
-m AS (SELECT doc_id, tn.label, count(*) / size AS containment
-      FROM bl JOIN tw USING (word) JOIN tn ON tn.t = tw.t
-      GROUP BY doc_id, line_no, i, tn.t, tn.label, size HAVING count(*) >= ceil({THRESHOLD} * size - 1e-9)),
+t(t, label, text, share, naming) AS (VALUES {templates}),
+tl AS (SELECT t, label, share, naming, regexp_extract_all({lower}, '{ALNUM_BREAK_SQL}') AS w FROM t),
+tw AS (SELECT t, unnest(list_distinct(w)) AS word FROM tl),
+tn AS (SELECT t, label, share, naming, len(list_distinct(w)) AS size, len(w) AS step FROM tl),
+wi AS (SELECT doc_id, total, word, i - 1 AS i FROM (SELECT doc_id, len(w) AS total, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d)
+       WHERE word IN (SELECT word FROM tw)),
+wk AS (SELECT doc_id, total, t, word, unnest([i // step - 1, i // step]) AS k, step FROM wi JOIN tw USING (word) JOIN tn USING (t)),
+held AS (SELECT doc_id, 'line' AS kind, line_no AS a, i AS b, t, list(DISTINCT word) AS words FROM bl JOIN tw USING (word) GROUP BY ALL
+         UNION ALL
+         SELECT doc_id, 'window' AS kind, 0 AS a, k AS b, t, list(DISTINCT word) AS words FROM wk
+         WHERE k = 0 OR (k > 0 AND (k + 1) * step < total) GROUP BY ALL),
+m AS (SELECT doc_id, label, len(words) / size AS containment FROM held JOIN tn USING (t)
+      WHERE len(words) >= ceil(share * size - 1e-9) AND list_has_all(words, naming)),
 s AS (SELECT doc_id, max(containment) AS score FROM m GROUP BY doc_id),
 bn AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x FROM (SELECT DISTINCT doc_id, label FROM b) GROUP BY doc_id),
 mn AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS x

@@ -131,7 +131,7 @@ def training_order(docs: DataFrame, tokenizer: str, key: int, sequence_tokens: i
 
 
 def write_shards(ordered: DataFrame, path: str) -> None:
-    """One file for each shard under path/shard=<number>, records in slot order."""
+    """One Parquet file for each shard under path/shard=<number>, records in slot order."""
     ordered.write.partitionBy("shard").parquet(path)
 
 
@@ -161,3 +161,22 @@ def shard_payloads(ordered: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard, len(parts), b"".join(parts)), schema)], schema=schema)
 
     return ordered.select("shard", "record").mapInArrow(join, "shard int, n_records long, payload binary")
+
+
+def write_stride_files(ordered: DataFrame, path: str) -> None:
+    """One plain file for each shard under path/records/shard=<number>: records one after the other, a line end after each, so
+    row r of a shard stands at byte r * (record width + 1); and the records' places (slot, shard, row, doc_id, seq_no, n_tokens)
+    as a table under path/places.  `ordered` is what training_order returns."""
+    ordered.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/records")
+    ordered.drop("record").write.parquet(f"{path}/places")
+
+
+def read_stride_files(spark: SparkSession, path: str, start: int, count: int, width: int, stride: int = STRIDE) -> DataFrame:
+    """(slot, record) of `count` slots from `start` on, cut from the shard files by arithmetic alone; opens only the shards that hold them."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(f"{path}/records").select("shard", "content")
+    files = files.where((F.col("shard") >= start // stride) & (F.col("shard") <= (start + count - 1) // stride))
+    first = F.greatest(F.lit(start) - F.col("shard") * stride, F.lit(0))
+    last = F.least(F.lit(start + count) - F.col("shard") * stride, F.octet_length("content") / (width + 1)).cast("long") - 1
+    rows = files.where(first <= last).select("shard", "content", F.explode(F.sequence(first.cast("long"), last)).alias("row"))
+    return rows.select((F.col("shard") * stride + F.col("row")).alias("slot"),
+                       F.substring("content", (F.col("row") * (width + 1) + 1).cast("int"), F.lit(width)).alias("record"))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tessera.llm import mixing, pii, queries, toxicity
 
+SF = "/root/testdata/sf0.001"
+
 
 # ---- mixing ---------------------------------------------------------------
 def _uniform(seed, doc, part):
@@ -252,3 +254,55 @@ def test_awkward_texts(make_docs, awkward):
     assert untouched == Counter(awkward)
     assert len({r.text for r in got if r.doc_id == 50}) == 1
     assert pii.replace_entities(make_docs([]), KEY).collect() == []
+
+
+def test_the_key_comes_from_the_session(spark):
+    spark.conf.unset(queries.PII_KEY_SETTING)
+    assert queries.pii_key(spark) != queries.pii_key(spark) and len(queries.pii_key(spark)) == 32
+    spark.conf.set(queries.PII_KEY_SETTING, "secret")
+    try:
+        assert queries.pii_key(spark) == b"secret"
+        rows = [sorted((r.doc_id, r.n_entities, r.kinds, r.text) for r in queries.op10_pii(spark, SF).collect()) for _ in range(2)]
+        assert rows[0] == rows[1]
+        texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+        found = {d: pii.detect(t or "") for d, t in texts.items()}
+        for doc, n, kinds, text in rows[0]:   # the registered contract: every mention replaced, the rest as it was
+            assert n == len(found[doc]) and kinds == ",".join(sorted({k for *_, k, _ in found[doc]}))
+            assert (text == texts[doc]) == (n == 0)
+            assert all(texts[doc][a:b] not in text or len(texts[doc][a:b]) < 6 for a, b, k, _ in found[doc] if k in ("email", "card"))
+    finally:
+        spark.conf.unset(queries.PII_KEY_SETTING)
+
+
+LABELLED = [
+    ("Write to {} today.", "email", ["jo.b@example.org", "a+tag@sub.example.co.uk", "X_1@example.com"]),
+    ("Call {} now.", "phone", ["+1 (509) 555-0100", "509-555-0100", "+44 20 7946 0958", "020 7946 0958", "1-800-555-0100"]),
+    ("Card {} was used.", "card", ["4111 1111 1111 1111", "5500-0000-0000-0004", "3782 822463 10005"]),
+    ("Host {} answered.", "ip", ["192.0.2.17", "2001:db8::8a2e:370:7334"]),
+    ("SSN {} on file.", "ssn", ["123-45-6789"]),
+    ("We met Dr. {} there.", "surname", ["Smith", "O'Neil", "Иванов"]),
+]
+CLEAN = ["Order 12345 of 2024-05-06 cost 99.50 EUR.", "Version 10.2.3 of the tool.", "Room 4111, floor 11.", "No names in here at all.", "e = mc2 @ home", "12:30 to 14:45"]
+
+
+def test_detection_over_a_labelled_sample():
+    """Recall over every labelled mention in every sentence, and nothing found in clean ones."""
+    hit = total = 0
+    for frame, kind, values in LABELLED:
+        for value in values:
+            text = frame.format(value)
+            total += 1
+            hit += any(text[a:b] == value and k == kind for a, b, k, _ in pii.detect(text))
+    assert hit / total >= 0.95, (hit, total)
+    assert [pii.detect(t) for t in CLEAN] == [[]] * len(CLEAN)
+
+
+def test_registered_toxicity_contract(spark):
+    got = queries.op1_toxicity(spark, SF)
+    assert got.columns[:4] == ["doc_id", "held_out", "score", "predicted"] and got.schema["held_out"].dataType.simpleString() == "boolean"
+    rows = got.collect()
+    ids = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in rows) == sorted(ids)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7)

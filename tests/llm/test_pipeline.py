@@ -56,3 +56,12 @@ def test_stages_keep_columns_and_take_awkward_rows(spark, docs, make_docs, awkwa
 
 def test_stage_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "training_order"]
+
+
+def test_stages_keep_columns_named_as_the_operators_own(spark, docs):
+    own = docs.limit(60).withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id")) for c in ("copy", "copies", "shuffle_key", "toxicity_score", "score")})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, own, SF)
+        assert out.columns == own.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in own.columns[len(docs.columns):]), name

@@ -2,8 +2,11 @@
 import hashlib
 import re
 import textwrap
+import time
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tessera.llm import decontaminate, exact_dedup, license_scan, substring_dedup
 
 SPACE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -212,3 +215,75 @@ def test_short_notices_need_their_naming_words(make_docs):
 def test_license_scan_of_nothing(make_docs):
     assert license_scan.scan(make_docs([])).collect() == []
     assert license_scan.scan(make_docs([(1, "mit license")]), templates=[("empty", "...")]).first().blocks == []
+
+
+def test_texts_need_their_naming_words(make_docs):
+    rows = [(1, "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0."),
+            (2, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+            (3, "This program is free software: you can redistribute it and/or modify it under the terms of the ACME "
+                "License as published by the Free Software Foundation")]
+    got = {r.doc_id: ({b.label for b in r.blocks}, {w.label for w in r.windows}) for r in license_scan.scan(make_docs(rows)).collect()}
+    assert got == {1: (set(), set()), 2: ({"mpl-2.0-text"}, {"mpl-2.0-text"}), 3: (set(), set())}
+    other = license_scan.scan(make_docs(rows), naming={}, thresholds={"mpl-2.0-text": 0.9}).collect()
+    assert {r.doc_id for r in other if "mpl-2.0-text" in {b.label for b in r.blocks}} == {1, 2}
+
+
+def test_a_million_words_with_many_hits_take_seconds(make_docs):
+    text = " ".join("mit license" if i % 5 == 0 else f"w{i % 997} license" for i in range(500_000))
+    begun = time.time()
+    row = license_scan.scan(make_docs([(1, text)])).first()
+    assert row.n_words == 1_000_000 and len(row.base) == 100_000 and time.time() - begun < 60
+
+
+def test_license_sql_tells_lines_windows_and_names_apart(make_docs):
+    """Rows on which lines alone, or one threshold for all templates, would give other labels."""
+    header = textwrap.fill(dict(license_scan.TEMPLATES)["apache-2.0-text"], 40)
+    rows = [(1, header), (2, "x " * 400 + "\n" + textwrap.fill(dict(license_scan.TEMPLATES)["gpl-text"], 30) + "\n" + "y " * 500),
+            (3, "Released under the GPL license"), (4, "Licensed under CC BY 4.0."), (5, None), (6, ""),
+            (7, "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0.")] + LICENSED
+    got = make_docs(rows)
+    import duckdb
+    import pandas as pd
+    from tessera.llm import oracle, queries
+    documents = pd.DataFrame({"doc_id": [d for d, _ in rows], "text": [t for _, t in rows]})
+    con = duckdb.connect()
+    con.register("documents", documents)
+    want = {r[0]: r[1:] for r in con.sql("SELECT doc_id, n_base, base_labels, labels, round(score, 9) FROM (" + oracle.SQL["op5_license_scan"] + ")").fetchall()}
+    real, queries.table = queries.table, lambda *_: got
+    try:
+        mine = {r.doc_id: (r.n_base, r.base_labels, r.labels, round(r.score, 9)) for r in queries.op5_license_scan(got.sparkSession, "").collect()}
+    finally:
+        queries.table = real
+    assert mine == want
+    assert mine[1][2] == "apache-2.0-text" and mine[2][2] == "gpl,gpl-text" and mine[3][2] == mine[4][2] == mine[7][2] == ""
+
+
+def _removed(docs, **kw):
+    return sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in substring_dedup.remove_repeats(docs, **kw).collect()), key=str)
+
+
+def test_a_hot_passage_gives_its_range_one_entry_a_chunk(spark, make_docs):
+    """Positions already known to repeat go to the documents' groups, so no range's input grows with the holders."""
+    passage = " ".join(f"hot{i}" for i in range(50))
+    for holders in (300, 1200):
+        rows = [(i, f"own{i} " * 3 + (passage if i % 3 == 0 else " ".join(f"w{i}x{j}" for j in range(60)))) for i in range(3 * holders)]
+        docs = make_docs(rows).select("doc_id", "text", F.lit(0).cast("long").alias("tag")).repartition(1)
+        entries = docs.mapInArrow(substring_dedup._map_chunks(50, 64, 64, 10**9), substring_dedup._ENTRIES).toPandas()
+        ranges = entries[entries.bucket < substring_dedup._DIRECT]
+        assert ranges.groupby("bucket").size().max() == 1
+        windows = [len(substring_dedup._unplanes(r["at"], "<u4")) for _, r in ranges.iterrows()]
+        distinct = len({w for _, t in rows for w in zip(*[t.split()[k:] for k in range(50)])})
+        assert sum(windows) == distinct                     # each distinct window of the chunk once
+        direct = entries[entries.bucket >= substring_dedup._DIRECT]
+        assert len(direct) > 40 and direct["at"].map(len).max() < 200  # spread over the groups of documents
+    got = _removed(make_docs(rows))
+    assert sum(r[2] for r in got) == 50 * (holders - 1)
+
+
+def test_two_levels_of_ranges_remove_the_same(make_docs, awkward, monkeypatch):
+    shared = " ".join(f"p{i}" for i in range(70))
+    rows = awkward + [(100 + i, f"a{i} " * (i % 7) + shared + f" z{i}" * (i % 5) + " " + " ".join(f"q{i % 4}r{j}" for j in range(80))) for i in range(40)]
+    docs = make_docs(rows).repartition(5)
+    one = _removed(docs, chunk_words=400)
+    monkeypatch.setattr(substring_dedup, "FAN", 3)
+    assert _removed(docs, chunk_words=400) == one == _removed(docs, chunk_words=10**7)

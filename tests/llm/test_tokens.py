@@ -1,9 +1,13 @@
+import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tessera.llm import queries
 from tessera.llm import token_counts as C
 from tessera.llm import tokens
 from tessera.llm import training_order as O
@@ -100,6 +104,51 @@ def test_training_order_round_trip(spark, make_docs, awkward, bpe, library, tmp_
     assert sum(p.n_records for p in payloads) == len(rows) and all(len(p.payload) == 32 * p.n_records for p in payloads)
 
 
+def test_stride_files_are_read_by_arithmetic(spark, make_docs, awkward, bpe, tmp_path):
+    stride, width = 8, 32
+    ordered = O.training_order(make_docs(awkward).repartition(3), bpe, key=7, sequence_tokens=16, stride=stride)
+    O.write_stride_files(ordered, str(tmp_path / "f"))
+    want = {r.slot: bytes(r.record) for r in ordered.collect()}
+    places = spark.read.parquet(str(tmp_path / "f/places")).collect()
+    assert sorted(p.slot for p in places) == sorted(want) and all(p.shard == p.slot // stride and p.row == p.slot % stride for p in places)
+    for shard in range(-(-len(want) // stride)):  # any reader can do it: one file a shard, fixed strides
+        file, = (tmp_path / f"f/records/shard={shard}").glob("part-*")
+        raw = file.read_bytes()
+        assert len(raw) % (width + 1) == 0
+        assert all(raw[r * (width + 1):r * (width + 1) + width] == want[shard * stride + r] for r in range(len(raw) // (width + 1)))
+    for start, count in ((0, 5), (13, 10), (len(want) - 3, 50), (len(want) + 9, 4)):
+        got = {r.slot: bytes(r.record) for r in O.read_stride_files(spark, str(tmp_path / "f"), start, count, width, stride).collect()}
+        assert got == {s: r for s, r in want.items() if start <= s < start + count}
+
+
+def test_registered_order_holds_every_token(spark, library):
+    """The registered query's rows: slots without gaps, and records whose tokens are the documents'."""
+    sf = "/root/testdata/sf0.001"
+    got = queries.op4_training_order(spark, sf)
+    assert got.columns == ["slot", "shard", "row", "doc_id", "seq_no", "n_tokens", "record_sha256"]
+    rows = got.collect()
+    want = Counter()
+    for d, t in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        ids = _library_ids(library, t or "")
+        for i in range(0, len(ids), O.SEQUENCE_TOKENS):
+            part = ids[i:i + O.SEQUENCE_TOKENS]
+            record = np.array(part, "<u2").tobytes().ljust(2 * O.SEQUENCE_TOKENS, b"\0")
+            want[d, i // O.SEQUENCE_TOKENS, len(part), hashlib.sha256(record).hexdigest()] += 1
+    assert Counter((r.doc_id, r.seq_no, r.n_tokens, r.record_sha256) for r in rows) == want
+    assert sorted(r.slot for r in rows) == list(range(len(rows))) and all(r.shard == r.slot // O.STRIDE and r.row == r.slot % O.STRIDE for r in rows)
+
+
+def test_registered_counts_are_the_librarys(spark, library):
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op6_token_counts(spark, sf)
+    assert got.columns[:4] == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+    for r in got.collect():
+        n = len(_library_ids(library, texts[r.doc_id]))
+        assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(texts[r.doc_id].encode()), n, n > 1024)
+        assert r.stored_bytes > 1 and len(_library_ids(library, texts[r.doc_id][:r.chars_within_limit])) <= 1024
+
+
 def test_training_order_of_nothing(make_docs, bpe):
     assert O.training_order(make_docs([]), bpe, 1).collect() == []
     assert O.training_order(make_docs([(1, None), (2, "")]), bpe, 1).collect() == []
