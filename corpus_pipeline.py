@@ -18,10 +18,18 @@ from tessera.llm.common import ensure_checkpoint_dir, table
 from tessera.llm.queries import BYTE_BPE, MIX_SEED, MIX_WEIGHTS, ORDER_KEY, TOXIC_FROM
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is under the threshold; the model is trained on the labelled ones among them."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, into="toxicity_score").where(F.col("toxicity_score") < TOXIC_FROM).select(*docs.columns)
+    score = free_name(docs, "toxicity_score")
+    return toxicity.score(docs, model, into=score).where(F.col(score) < TOXIC_FROM).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +45,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents replicated to the target weights of their sources, in a global random order."""
-    return mixing.mix(docs, MIX_WEIGHTS, MIX_SEED, null_ids="row").select(*docs.columns)
+    names = {c: free_name(docs, f"kept_{c}") for c in docs.columns if c in mixing.ADDED}  # the operator's own names
+    mixed = mixing.mix(docs.withColumnsRenamed(names), MIX_WEIGHTS, MIX_SEED, null_ids="row")
+    return mixed.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def materialise_order(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
