@@ -1,5 +1,6 @@
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tessera.operators.bridge import bridge_join
@@ -34,14 +35,20 @@ def test_value_counts_and_domains(spark):
 
 
 def test_lookup_csv_keeps_file_order(spark):
-    src = spark.createDataFrame([(5, "x"), (5, "y"), (6, "z")], "manu_id int, country string")
+    src = spark.createDataFrame([(1, 5, "x"), (2, 5, "y"), (3, 6, "z")], "line long, manu_id int, country string")
     path = tempfile.mkdtemp(prefix="tessera-test-", dir="/tmp") + "/lk"
-    write_table(src.coalesce(1), path, fmt="csv")
-    lk = read_lookup_csv(spark, path, "manu_id int, country string")
+    write_table(src.orderBy(F.desc("line")).repartition(3), path, fmt="csv")     # several files, in any order
+    lk = read_lookup_csv(spark, path, "line long, manu_id int, country string", order="line")
+    assert lk.columns == ["_order", "manu_id", "country"]
     first = {r.manu_id: r.country for r in lk.groupBy("manu_id").agg(F.min_by("country", "_order").alias("country")).collect()}
     assert first == {5: "x", 6: "z"}
 
 
+def test_lookup_without_a_line_column_raises(spark):
+    with pytest.raises(ValueError, match="no column 'line'"):
+        read_lookup_csv(spark, "/nowhere", "manu_id int, country string", order="line")
+
+
 def test_aql_score(spark):
     df = spark.createDataFrame([(1, 1.0, 0.0, 2.0, 1.0, 3.0, 1.0), (1, 3.0, 0.0, 2.0, 1.0, 3.0, 1.0)],
                                "k long, ca double, cr double, ma double, mr double, na double, nr double")
