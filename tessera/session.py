@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -57,3 +58,14 @@ def checkpoint(df):
     session's checkpoint directory."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A fresh folder under the session's checkpoint directory (shared storage on a cluster, never
+    a machine-local temporary folder)."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage/{tag}-{uuid.uuid4().hex}"
+
+
+def session_store(spark: SparkSession, name: str) -> dict:
+    """A dictionary that lives as long as the session object: frames kept in it are released with the session."""
+    return spark.__dict__.setdefault("_tessera_store", {}).setdefault(name, {})
