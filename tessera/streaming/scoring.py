@@ -8,15 +8,18 @@ unchanged on a streaming DataFrame (``readStream`` -> ``score_stream`` ->
 """
 from __future__ import annotations
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.ml import evaluate as E
-from tessera.ml.train import assemble, p_pass
+from tessera.ml.train import p_pass
+from tessera.ml.trees import FEATURES
 
 
 def score_stream(stream: DataFrame, model, feats: list[str], threshold: float) -> DataFrame:
-    """Probability and thresholded label for each incoming feature row."""
-    out = p_pass(model.transform(assemble(stream, feats)))
-    return out.withColumn("prediction", E.threshold_label(F.col("p_pass"), threshold)) \
-              .drop("features", "rawPrediction", "probability")
+    """Probability and thresholded label for each incoming row: of its ``features`` vector, else of the columns ``feats``."""
+    if FEATURES not in stream.columns:
+        stream = VectorAssembler(inputCols=feats, outputCol=FEATURES, handleInvalid="keep").transform(stream)
+    return p_pass(model.transform(stream)).withColumn("prediction", E.threshold_label(F.col("p_pass"), threshold)) \
+        .drop(FEATURES, "rawPrediction", "probability")
