@@ -10,8 +10,8 @@ client dimension       ``customer`` on o_custkey: c_mktsegment = client std name
                        raw address = name of the customer's nation
 manufacturer dim       ``nation`` (bounded: 25 rows) -> manufacturer std name
 address lookup         ``nation`` x ``region`` -> country = region name
-bridge + dimension     ``lineitem`` LEFT JOIN ``part`` (restricted to p_size > 5, so
-                       some lines have no dimension row) LEFT JOIN ``supplier``
+bridge + dimension     ``lineitem`` LEFT JOIN ``part`` (the part key of lines 6 is read as null, so
+                       they have no dimension row) LEFT JOIN ``supplier``
 test results           derived from l_returnflag / l_linestatus / l_linenumber,
                        null when the line has no part row
 phase                  l_linestatus: O -> 1, F -> 2
@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tessera.functions.scalars import map_values, none_to_pass
 from tessera.operators.shares import ShareRule
 from tessera.plans.features import FeatureSpec
+from tessera.session import session_store
 from tessera.sources.tables import read_table
 
 LIST_MAJ_MIN = "['Major', 'Minor']"
@@ -119,22 +120,21 @@ class Tables:
     """Lazy scans of the driver tables under one directory.
 
     Scan DataFrames are shared by all queries of one session (a catalog of
-    lazy relations: no data is cached, only the file listing and schema).
+    lazy relations: no data is cached, only the file listing and schema), and
+    go with it.
     """
 
-    _scans: dict = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLES:
             raise AttributeError(name)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
-        hit = Tables._scans.get(key)
-        if hit is None or hit[0] is not self.spark:
-            hit = Tables._scans[key] = (self.spark, read_table(self.spark, self.sf_dir, name))
-        return hit[1]
+        held = session_store(self.spark, "scans")
+        key = (self.sf_dir, name)
+        if key not in held:
+            held[key] = read_table(self.spark, self.sf_dir, name)
+        return held[key]
 
 
 def orders_view(t: Tables) -> DataFrame:
@@ -150,8 +150,8 @@ def orders_view(t: Tables) -> DataFrame:
 
 def client_dim(t: Tables) -> DataFrame:
     """customer -> client std name, manufacturer id (with a null path) and the
-    raw address text; nation is a fixed 25-row code table, so it is broadcast."""
-    nation = F.broadcast(t.nation.select(F.col("n_nationkey").alias("__nk"), F.col("n_name").alias("manu_add")))
+    raw address text."""
+    nation = t.nation.select(F.col("n_nationkey").alias("__nk"), F.col("n_name").alias("manu_add"))
     c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
     return (c.join(nation, c["c_nationkey"] == nation["__nk"], "left")
             .select(F.col("c_custkey").alias("client_id"),
@@ -178,9 +178,7 @@ def line_bridge(t: Tables, with_supplier: bool = True, with_part: bool = True) -
     """lineitem [LEFT JOIN part] [LEFT JOIN supplier x nation x region]: the
     shared bridge of every test / service / technology / inspector feature.
 
-    part and supplier grow with the data, so no broadcast hint: AQE broadcasts
-    them only if their runtime size is under the threshold.  nation and region
-    are fixed-size code tables and are broadcast.
+    No broadcast hints: a side is broadcast only if its size is under the threshold.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                            "l_returnflag", "l_linestatus")
@@ -190,9 +188,8 @@ def line_bridge(t: Tables, with_supplier: bool = True, with_part: bool = True) -
         out = li.withColumn("__pk", F.expr(PART_KEY_SQL)).join(p, F.col("__pk") == p["p_partkey"], "left").drop("__pk")
     if with_supplier:
         s = t.supplier.select("s_suppkey", "s_name", "s_nationkey")
-        geo = F.broadcast(t.nation.select("n_nationkey", "n_regionkey")
-                          .join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-                          .select(F.col("n_nationkey").alias("__snk"), F.col("r_name").alias("insp_region")))
+        geo = (t.nation.select("n_nationkey", "n_regionkey").join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+               .select(F.col("n_nationkey").alias("__snk"), F.col("r_name").alias("insp_region")))
         out = (out.join(s, out["l_suppkey"] == s["s_suppkey"], "left")
                .join(geo, F.col("s_nationkey") == F.col("__snk"), "left").drop("__snk"))
     return out

@@ -1,12 +1,12 @@
 """Registered queries: one per operator key of the inventory, bound to the
-driver tables.  Each takes (spark, sf_dir) and returns a lazy DataFrame.
+driver tables.  Each takes (spark, sf_dir) and returns a DataFrame; model queries
+run the fits that they need while they are built.
 
 Doubles are rounded to 6 digits at the very end of each query so results
 compare across engines; the operators themselves never round.
 """
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,7 +24,7 @@ from tessera.operators.update import update_by_key
 from tessera.plans import binding as B
 from tessera.plans.features import aggregate_source, attach_specs
 from tessera.plans.master import build_master, feature_sources, report_base
-from tessera.session import checkpoint, ensure_checkpoint_dir
+from tessera.session import checkpoint, session_store, shared_path
 from tessera.sources import columnar_json as CJ
 from tessera.sources.lookup import read_lookup_csv
 from tessera.sources.stage import read_stage_table, write_table
@@ -47,13 +47,6 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A fresh directory under the session's checkpoint dir (shared storage on
-    a cluster; never a machine-local temp folder)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/stage/{tag}-{uuid.uuid4().hex}"
-
-
 def _t(spark, sf) -> B.Tables:
     return B.Tables(spark, sf)
 
@@ -82,7 +75,7 @@ def q_src_table_scan(spark, sf):
 def q_src_columnar_json(spark, sf):
     cust = read_table(spark, sf, "customer")
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
-    path = scratch_path(spark, "columnar-json")
+    path = shared_path(spark, "columnar-json")
     CJ.write_columnar_json(cust, path, cols)
     back = CJ.read_columnar_json(spark, path, [str(i) for i in range(len(cols))], cols,
                                  [T.LongType(), T.StringType(), T.IntegerType(), T.DoubleType(), T.StringType()])
@@ -104,7 +97,7 @@ def q_src_catalog(spark, sf):
 @query("src_lookup_file")
 def q_src_lookup_file(spark, sf):
     t = _t(spark, sf)
-    path = scratch_path(spark, "lookup-csv")
+    path = shared_path(spark, "lookup-csv")
     write_table(B.address_lookup(t).select(F.col("_order").alias("line"), "manu_id", "country"), path, fmt="csv")
     sheet = read_lookup_csv(spark, path, "line long, manu_id int, country string", order="line")
     return sheet.select("manu_id", "country", "_order")
@@ -112,14 +105,14 @@ def q_src_lookup_file(spark, sf):
 
 @query("src_stage_table")
 def q_src_stage_table(spark, sf):
-    path = scratch_path(spark, "stage-master")
+    path = shared_path(spark, "stage-master")
     write_table(build_master(_t(spark, sf)), path)
     return rounded(read_stage_table(spark, path))
 
 
 @query("snk_table")
 def q_snk_table(spark, sf):
-    path = scratch_path(spark, "sink-csv")
+    path = shared_path(spark, "sink-csv")
     write_table(read_table(spark, sf, "customer"), path, fmt="csv")
     return spark.read.csv(path, header=True,
                           schema="c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
@@ -191,8 +184,7 @@ def q_brg_cert(spark, sf):
 
 
 def _inspector_dim(t: B.Tables) -> DataFrame:
-    geo = F.broadcast(t.nation.join(F.broadcast(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
-                      .select("n_nationkey", "r_name"))
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     s = t.supplier.select("s_suppkey", "s_nationkey")
     return s.join(geo, s["s_nationkey"] == geo["n_nationkey"], "left").select("s_suppkey", "r_name")
 
@@ -554,9 +546,7 @@ def _labelled_master(spark, sf) -> DataFrame:
 
 @query("ml_dummies")
 def q_ml_dummies(spark, sf):
-    m = checkpoint(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS))
-    out, _ = PP.dummies(m, B.CATEGORICAL_COLUMNS)
-    return out
+    return PP.dummy_table(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS), B.CATEGORICAL_COLUMNS)
 
 
 @query("ml_label_encode")
@@ -648,82 +638,112 @@ def q_ml_threshold_sweep(spark, sf):
 
 # ---------------------------------------------------------------- 2.8 models (no SQL oracle)
 from tessera.ml import impute as IM  # noqa: E402
+from tessera.ml import lsh as LS  # noqa: E402
+from tessera.ml import search as SE  # noqa: E402
 from tessera.ml import train as TR  # noqa: E402
+from tessera.ml import trees as TE  # noqa: E402
 
 MODEL_THRESHOLD = 0.5
 MODEL_SEED = 0
 MODEL_ITER = 100
-# Registered grid: a slice of the reference grid (the full 720 combinations are
-# ``TR.REFERENCE_GRID``), kept small so the registered query runs in minutes.
+# Registered grid: a slice of the reference grid (the full 720 combinations are the default of the
+# operator), kept small so the registered query runs in minutes.
 QUERY_GRID = {"eta": [0.15, 0.3], "max_depth": [2, 4]}
 GRID_FOLDS = 6
 GRID_ITER = 20
-REPEAT_RUNS = 3
+REPEAT_RUNS = 5
+MICE_ITERATIONS = 5
+MICE_TREES = 10
+#: Feature sets: every feature, and the reference's variant without the columns derived from tests.
+FEATURE_SETS = {"all": [], "without_tests": B.TEST_SHARE_COLUMNS}
 
+# Materialised tables and fits shared by the model queries of one session, gone with it.
 
-# Materialised (checkpointed) intermediates shared by the model queries of one
-# session: the feature frame and the oversampled training set are computed
-# once per (application, tables, seed), like a staged table.
-_MEMO: dict = {}
+def _shared(spark, key, build):
+    held = session_store(spark, "models")
+    if key not in held:
+        held[key] = build()
+    return held[key]
 
 
-def _memo(spark, key, build):
-    k = (spark.sparkContext.applicationId, key)
-    hit = _MEMO.get(k)
-    if hit is None or hit[0] is not spark:
-        _MEMO[k] = hit = (spark, build())
-    return hit[1]
+def _imputed(spark, sf) -> DataFrame:
+    """The labelled master completed by MICE (the first data set, as the reference uses); the target predicts the other columns too."""
+    def build():
+        m = checkpoint(_labelled_master(spark, sf).drop("report_date"))  # read by several passes
+        return IM.mice(m, "report_id", numeric_features(m), [*B.CATEGORICAL_COLUMNS, B.TARGET], iterations=MICE_ITERATIONS, datasets=1,
+                       seed=MODEL_SEED, num_trees=MICE_TREES, state_dir=shared_path(spark, "mice"))[0]
+    return _shared(spark, ("imputed", sf), build)
 
 
-def _frame(spark, sf):
-    def build():
-        m = build_master(_t(spark, sf))
-        frame, feats = TR.feature_frame(m, "report_id", B.TARGET, B.CATEGORICAL_COLUMNS, exclude=["report_date"])
-        return checkpoint(frame), feats
-    return _memo(spark, ("frame", sf), build)
+@query("ml_mice")
+def q_ml_mice(spark, sf):
+    return rounded(_imputed(spark, sf))
+
 
+def _frame(spark, sf, features="all"):
+    return _shared(spark, ("frame", sf, features), lambda: TR.feature_frame(
+        _imputed(spark, sf), "report_id", B.TARGET, B.CATEGORICAL_COLUMNS, exclude=FEATURE_SETS[features], imputed=True))
 
-def _balanced(spark, sf, seed=MODEL_SEED):
+
+def _members(spark, sf) -> DataFrame:
+    """Test sets of all seeds, from one scan."""
+    return _shared(spark, ("members", sf), lambda: checkpoint(PP.seed_memberships(
+        _frame(spark, sf)[0].select("report_id", TE.LABEL), "report_id", TE.LABEL, range(REPEAT_RUNS)).select("report_id", "tests")))
+
+
+def _parts(spark, sf, seed=MODEL_SEED, features="all"):
+    """The oversampled training rows and the test rows of one seed."""
     def build():
-        frame, feats = _frame(spark, sf)
-        train, test = TR.split_and_balance(frame, "report_id", feats, seed)
-        return train, test, feats
-    return _memo(spark, ("balanced", sf, seed), build)
+        marked = _frame(spark, sf, features)[0].join(_members(spark, sf), "report_id")
+        test = PP.in_test(F.col("tests"), seed)
+        return TR.balanced(marked.where(~test), "report_id", seed=seed), checkpoint(marked.where(test).drop("tests"))
+    return _shared(spark, ("parts", sf, seed, features), build)
 
 
-def _model(spark, sf, seed=MODEL_SEED):
-    """The default-parameter boosted model of one seed's balanced training set."""
+def _grid(spark, sf):
+    """(accuracy of each point, best point, accuracy of the default parameters)."""
     def build():
-        train, _, feats = _balanced(spark, sf, seed)
-        return TR.fit_boosted(train, feats, None, MODEL_ITER, seed)
-    return _memo(spark, ("model", sf, seed), build)
+        data = TR.with_folds(_parts(spark, sf)[0], "report_id", GRID_FOLDS, MODEL_SEED)
+        table, best, default = SE.grid_search(data, QUERY_GRID, GRID_FOLDS, GRID_ITER, MODEL_SEED)
+        return checkpoint(table), best, default
+    return _shared(spark, ("grid", sf), build)
+
+
+def _model(spark, sf, seed=MODEL_SEED, features="all"):
+    """The boosted model of one seed's balanced training set, with the tuned parameters."""
+    return _shared(spark, ("model", sf, seed, features), lambda: TR.fit_boosted(
+        _parts(spark, sf, seed, features)[0], _grid(spark, sf)[1], MODEL_ITER, seed))
 
 
 @query("ml_boosted_fit")
 def q_ml_boosted_fit(spark, sf):
-    train, test, feats = _balanced(spark, sf)
-    model = _model(spark, sf)
-    scored = TR.p_pass(model.transform(TR.assemble(test, feats)))
-    return rounded(scored.select("report_id", TR.truth_col().alias("truth"), "p_pass",
-                                 E.threshold_label(F.col("p_pass"), MODEL_THRESHOLD).alias("prediction")))
+    scored = TR.scored(_model(spark, sf), _parts(spark, sf)[1])
+    return rounded(scored.select("report_id", "truth", "p_pass", E.threshold_label(F.col("p_pass"), MODEL_THRESHOLD).alias("prediction")))
 
 
 @query("ml_feature_importance")
 def q_ml_feature_importance(spark, sf):
-    _, _, feats = _balanced(spark, sf)
-    return rounded(TR.feature_importance(spark, _model(spark, sf), feats))
+    frame, slots = _frame(spark, sf)
+    return rounded(TR.feature_importance(_model(spark, sf), slots, frame))
 
 
-@query("ml_pipeline_run")
-def q_ml_pipeline_run(spark, sf):
-    return rounded(_run(spark, sf, MODEL_SEED))
+def _run(spark, sf, seed: int, features="all") -> DataFrame:
+    return TR.pipeline_run(_frame(spark, sf, features)[0], "report_id", MODEL_THRESHOLD, seed=seed,
+                           parts=_parts(spark, sf, seed, features), model=_model(spark, sf, seed, features))
 
 
-def _run(spark, sf, seed: int) -> DataFrame:
-    frame, feats = _frame(spark, sf)
-    train, test, _ = _balanced(spark, sf, seed)
-    return TR.pipeline_run(frame, "report_id", feats, MODEL_THRESHOLD, None, seed, MODEL_ITER,
-                           balanced=(train, test), model=_model(spark, sf, seed))
+def _each_set(make) -> DataFrame:
+    """Rows of each feature set, named."""
+    out = None
+    for name in FEATURE_SETS:
+        one = make(name).withColumn("features", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("ml_pipeline_run")
+def q_ml_pipeline_run(spark, sf):
+    return rounded(_each_set(lambda features: _run(spark, sf, MODEL_SEED, features)))
 
 
 @query("ml_repeat_eval")
@@ -735,12 +755,16 @@ def q_ml_repeat_eval(spark, sf):
     return rounded(E.run_stats(runs))
 
 
-def _grid(spark, sf):
-    def build():
-        train, _, feats = _balanced(spark, sf)
-        table, best, default = TR.grid_search(train, "report_id", feats, QUERY_GRID, GRID_FOLDS, 4, GRID_ITER, MODEL_SEED)
-        return checkpoint(table), best, default
-    return _memo(spark, ("grid", sf), build)
+@query("ml_threshold_sweep_fitted")
+def q_ml_threshold_sweep_fitted(spark, sf):
+    """Each run's model is scored once and swept; mean metrics of each threshold over the runs."""
+    runs = None
+    for seed in range(REPEAT_RUNS):
+        one = E.threshold_sweep(TR.scored(_model(spark, sf, seed), _parts(spark, sf, seed)[1]), "truth", "p_pass")
+        runs = one if runs is None else runs.unionByName(one)
+    metrics = [c for c in runs.columns if c not in ("threshold", "n_pred_pass")]
+    return rounded(runs.groupBy("threshold").agg(F.sum("n_pred_pass").cast("long").alias("n_pred_pass"), F.count("*").alias("runs"),
+                                                 *[F.avg(c).alias(c) for c in metrics]))
 
 
 @query("ml_grid_search")
@@ -755,31 +779,30 @@ def q_ml_cv_compare(spark, sf):
     return rounded(spark.createDataFrame([("tuned", tuned), ("untuned", default)], "model string, cv_accuracy double"))
 
 
+def _tree(spark, sf, features="all"):
+    return _shared(spark, ("tree", sf, features), lambda: TR.decision_tree(_parts(spark, sf, MODEL_SEED, features)[0], 10, MODEL_SEED))
+
+
 @query("ml_decision_tree")
 def q_ml_decision_tree(spark, sf):
-    train, test, feats = _balanced(spark, sf)
-    model = TR.decision_tree(train, feats, 10, MODEL_SEED)
-    pred = model.transform(TR.assemble(test, feats)).select(
-        TR.truth_col().alias("truth"),
-        F.when(F.col("prediction") == 1.0, F.lit(E.POS)).otherwise(F.lit(E.NEG)).alias("prediction"))
-    return rounded(E.classification_report(pred, "truth", "prediction"))
+    def report(features):
+        pred = _tree(spark, sf, features).transform(_parts(spark, sf, MODEL_SEED, features)[1]).select(
+            TR.truth_col().alias("truth"), F.when(F.col("prediction") == 1.0, F.lit(E.POS)).otherwise(F.lit(E.NEG)).alias("prediction"))
+        return E.classification_report(pred, "truth", "prediction")
+    return rounded(_each_set(report))
 
 
 @query("ml_tree_rules")
 def q_ml_tree_rules(spark, sf):
-    train, _, feats = _balanced(spark, sf)
-    model = TR.decision_tree(train, feats, 10, MODEL_SEED)
-    return rounded(TR.tree_rules(model, train, feats))
+    return rounded(TR.tree_rules(_tree(spark, sf), _parts(spark, sf)[0], _frame(spark, sf)[1]))
 
 
-MICE_ITERATIONS = 5
+LSH_BUCKET = 0.5
+LSH_TABLES = 12
 
 
-@query("ml_mice")
-def q_ml_mice(spark, sf):
-    m = checkpoint(_labelled_master(spark, sf).drop("report_date"))  # read by several passes
-    numeric = numeric_features(m)
-    # the target predicts the other columns too
-    out = IM.mice(m, "report_id", numeric, [*B.CATEGORICAL_COLUMNS, B.TARGET], iterations=MICE_ITERATIONS, datasets=1,
-                  seed=MODEL_SEED)[0]
-    return rounded(out)
+@query("ml_lsh_neighbours")
+def q_ml_lsh_neighbours(spark, sf):
+    """Approximate neighbours of the minority rows among all rows."""
+    points = _embeddings(spark, sf)
+    return rounded(LS.lsh_neighbours(points.where(_minority()), points, "vec_id", EMB_COLS, ADASYN_K, LSH_BUCKET, LSH_TABLES, MODEL_SEED))
