@@ -13,7 +13,7 @@ tokenizer B is a `sentencepiece` model, read over the text, to which it adds the
    pair of linked ids once, with its count; counts are summed by pair over the corpus, and the
    best count of each B id is marked.  The pairs go back to the chunks that hold them, where
    the documents' links are looked up.  What is shuffled is a chunk's distinct pairs and the
-   packed ids (2 bytes a token), and nothing is held by vocabulary or for the whole corpus.
+   packed ids (under 2 bytes a token), and nothing is held by vocabulary or for the whole corpus.
 
 A single space or line end between two other characters ends a token in both tokenizers (no
 piece of B may hold one inside, which is checked when the model is loaded), so the words of a
@@ -36,6 +36,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,6 +133,7 @@ class Aligner:
         # digits of an id, and what follows it in the text of the groups
         self._told = [f"{i}{mark}".encode() for marks, t in ((",|", self.length_a), (",;", self.length_b)) for i in range(len(t)) for mark in marks]
         self._recent, self._before = _Words(), _Words()
+        self._compress, self._decompress = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
 
     # ---- words ----------------------------------------------------------------
     def keys(self, text: str) -> list:
@@ -236,8 +238,16 @@ class Aligner:
         items = [told[c] for c in codes.tolist()]
         return [b"".join(items[begin:end])[:-1] for begin, end in zip(np.r_[0, upto[:-1]].tolist(), upto.tolist())]
 
+    def packed(self, ids: np.ndarray) -> bytes:
+        """Ids as compressed byte planes (the high bytes repeat)."""
+        planes = np.ascontiguousarray(ids.astype(self.kind).view(np.uint8).reshape(-1, self.kind.itemsize).T)
+        return self._compress(planes.tobytes()) if len(ids) else b""
+
     def unpacked(self, packed: bytes) -> np.ndarray:
-        return np.frombuffer(packed, self.kind).astype(np.int64)
+        if not packed:
+            return np.zeros(0, np.int64)
+        planes = np.frombuffer(self._decompress(packed), np.uint8).reshape(self.kind.itemsize, -1)
+        return np.ascontiguousarray(planes.T).view(self.kind).ravel().astype(np.int64)
 
     def groups(self, a: bytes, b: bytes) -> list[tuple[int, int, list[int], list[int]]]:
         """(first byte, byte after the last, ids of A, ids of B) of each group of a packed alignment; bytes are those of space + text."""
@@ -265,10 +275,10 @@ class Alignment:
         """The linked ids as one number each."""
         return self.a[self.at_a].astype(np.int64) << _SHIFT | self.b[self.at_b].astype(np.int64)
 
-    def packed(self, side: str) -> list[bytes]:
+    def each(self, side: str) -> list[np.ndarray]:
         """Each text's ids."""
-        ids, upto = (self.a, np.cumsum(self.n_a)) if side == "a" else (self.b, np.cumsum(self.n_b))
-        return [ids[end - n:end].tobytes() for end, n in zip(upto.tolist(), (self.n_a if side == "a" else self.n_b).tolist())]
+        ids, sizes = (self.a, self.n_a) if side == "a" else (self.b, self.n_b)
+        return np.split(ids, np.cumsum(sizes)[:-1])
 
 
 def links(widths_a: np.ndarray, widths_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -307,7 +317,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         pairs, counts = np.unique(found.pairs(), return_counts=True)
         rest = [None] * (len(ids) - 1)
         values = [[number] * len(ids), ids, found.n_a, found.n_b, [g.count(b";") + 1 if g else 0 for g in groups],
-                  [hashlib.sha256(g).hexdigest() if g else "" for g in groups], found.packed("a"), found.packed("b"), [pairs, *rest], [counts, *rest]]
+                  [hashlib.sha256(g).hexdigest() if g else "" for g in groups], [aligner.packed(x) for x in found.each("a")], [aligner.packed(x) for x in found.each("b")], [pairs, *rest], [counts, *rest]]
         return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, _ALIGNED)], schema=_ALIGNED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,7 +356,7 @@ def link_scores(aligned: DataFrame, counts: DataFrame, path_a: str, path_b: str)
         aligner = load(path_a, path_b)
         pairs = pairs.sort_values("pair")
         known, n_links, best = pairs["pair"].to_numpy(), pairs["links"].to_numpy(), pairs["best"].to_numpy()
-        a, b = (aligner.unpacked(b"".join(docs[c])) for c in ("a_ids", "b_ids"))
+        a, b = (np.concatenate([aligner.unpacked(x) for x in docs[c]]) for c in ("a_ids", "b_ids"))
         at_a, at_b = links(aligner.length_a[a], aligner.length_b[b])
         at = np.searchsorted(known, a[at_a] << _SHIFT | b[at_b])
         upto = np.searchsorted(at_a, np.cumsum(docs["n_a"].to_numpy()))  # links up to the end of each document
