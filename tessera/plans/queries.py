@@ -653,7 +653,7 @@ GRID_FOLDS = 6
 GRID_ITER = 20
 REPEAT_RUNS = 5
 MICE_ITERATIONS = 5
-MICE_TREES = 10
+MICE_TREES, MICE_DEPTH = 10, 4
 #: Feature sets: every feature, and the reference's variant without the columns derived from tests.
 FEATURE_SETS = {"all": [], "without_tests": B.TEST_SHARE_COLUMNS}
 
@@ -671,7 +671,7 @@ def _imputed(spark, sf) -> DataFrame:
     def build():
         m = checkpoint(_labelled_master(spark, sf).drop("report_date"))  # read by several passes
         return IM.mice(m, "report_id", numeric_features(m), [*B.CATEGORICAL_COLUMNS, B.TARGET], iterations=MICE_ITERATIONS, datasets=1,
-                       seed=MODEL_SEED, num_trees=MICE_TREES, state_dir=shared_path(spark, "mice"))[0]
+                       seed=MODEL_SEED, num_trees=MICE_TREES, max_depth=MICE_DEPTH)[0]
     return _shared(spark, ("imputed", sf), build)
 
 
