@@ -653,7 +653,7 @@ GRID_FOLDS = 6
 GRID_ITER = 20
 REPEAT_RUNS = 5
 MICE_ITERATIONS = 5
-MICE_TREES, MICE_DEPTH = 10, 4
+MICE_TREES, MICE_DEPTH = 5, 3
 #: Feature sets: every feature, and the reference's variant without the columns derived from tests.
 FEATURE_SETS = {"all": [], "without_tests": B.TEST_SHARE_COLUMNS}
 

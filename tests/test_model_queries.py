@@ -16,8 +16,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not
 @pytest.fixture(scope="module")
 def run(spark):
     """Each query's rows, computed once."""
-    rounds, runs, iterations = Q.MODEL_ITER, Q.REPEAT_RUNS, Q.MICE_ITERATIONS
-    Q.MODEL_ITER, Q.REPEAT_RUNS, Q.MICE_ITERATIONS = 5, 2, 2   # what is computed from the fits does not depend on their length
+    names = ("MODEL_ITER", "REPEAT_RUNS", "MICE_ITERATIONS", "GRID_ITER", "GRID_FOLDS")
+    production = [getattr(Q, n) for n in names]
+    for n, short in zip(names, (3, 2, 1, 2, 2)):   # what is computed from the fits does not depend on their length
+        setattr(Q, n, short)
     session_store(spark, "models").clear()
     done = {}
 
@@ -27,12 +29,13 @@ def run(spark):
         return done[name]
 
     yield rows
-    Q.MODEL_ITER, Q.REPEAT_RUNS, Q.MICE_ITERATIONS = rounds, runs, iterations
+    for n, value in zip(names, production):
+        setattr(Q, n, value)
     session_store(spark, "models").clear()
 
 
 def test_production_parameters():
-    assert (Q.MODEL_ITER, Q.REPEAT_RUNS, Q.MICE_ITERATIONS, Q.GRID_FOLDS) == (100, 5, 5, 6)
+    assert (Q.MODEL_ITER, Q.REPEAT_RUNS, Q.MICE_ITERATIONS, Q.GRID_FOLDS, Q.GRID_ITER) == (100, 5, 5, 6, 20)
 
 
 def test_mice_fills_the_labelled_master(spark, run):
