@@ -546,12 +546,13 @@ def _labelled_master(spark, sf) -> DataFrame:
 
 @query("ml_dummies")
 def q_ml_dummies(spark, sf):
-    return PP.dummy_table(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS), B.CATEGORICAL_COLUMNS)
+    m = checkpoint(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS))  # read by dictionary and frame
+    return PP.dummy_table(m, B.CATEGORICAL_COLUMNS)
 
 
 @query("ml_label_encode")
 def q_ml_label_encode(spark, sf):
-    m = build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS)
+    m = checkpoint(build_master(_t(spark, sf)).select("report_id", *B.CATEGORICAL_COLUMNS))  # read by dictionary and codes
     return PP.label_encode(m, B.CATEGORICAL_COLUMNS).drop(*B.CATEGORICAL_COLUMNS)
 
 
