@@ -1,8 +1,11 @@
 """The pivot index: exact with any pivots, and fewer block pairs on clustered rows; LSH recall and hot buckets."""
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.ml import knn as KN
+from tessera.ml import lsh as LS
 from tessera.ml.knn import knn
 from tessera.ml.lsh import lsh_neighbours
 from tessera.ml.onehot import sparse_frame
@@ -80,3 +83,33 @@ def test_lsh_splits_a_hot_bucket_into_blocks(spark):
     whole = by_query(lsh_neighbours(df, df, "id", ["a", "b", "c"], 4, 1.0, 3))
     split = by_query(lsh_neighbours(df, df, "id", ["a", "b", "c"], 4, 1.0, 3, query_block=32, point_block=25))
     assert whole == split and all(len(whole[i]) == 4 for i in range(300))
+
+
+def test_few_distances_are_computed_term_by_term(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = pd.DataFrame({"qid": np.arange(700), "pid": np.arange(700), "v": list(1e6 + rng.random((700, 16)))})
+    exact, pairs = KN._Pair.exact, []
+    monkeypatch.setattr(KN._Pair, "exact", lambda self, at, to: pairs.append(len(at)) or exact(self, at, to))
+    got = KN._best_of_block(5, True)(rows, rows)
+    want = KN.sq_distances(rows, rows)
+    np.fill_diagonal(want, np.inf)
+    best = np.argsort(want, axis=1, kind="stable")[:, :5]
+    assert (got["pid"].to_numpy().reshape(700, 5) == best).all()
+    assert (got["dist2"].to_numpy() == np.take_along_axis(want, best, 1).ravel()).all()  # to the bit
+    assert 700 * 5 <= sum(pairs) < 700 * 10
+
+
+@pytest.mark.parametrize("value", [float("nan"), float("inf"), None])
+def test_a_row_without_a_distance_does_not_hide_its_block(spark, value):
+    df, x, cols = clustered(spark, n=240, centres=4)
+    odd = df.where("id % 60 = 7").select((F.col("id") + 1000).alias("id"), F.lit(value).cast("double").alias(cols[0]), *cols[1:])
+    assert by_query(knn(df, df.unionByName(odd), "id", cols, 3, query_block=30, point_block=20)) == brute(x, 3)
+
+
+def test_lsh_sends_a_row_once_for_a_bucket_of_thousands(spark, monkeypatch):
+    df = spark.range(1500).select("id", (F.col("id") % 7 / 100).alias("a"), F.lit(0.0).alias("b"))
+    real, sent = LS._split, []
+    monkeypatch.setattr(LS, "_split", lambda *args: sent.append(real(*args)) or sent[-1])
+    assert lsh_neighbours(df, df, "id", ["a", "b"], 3, 100.0, 1).count() == 4500
+    buckets = sent[1].select("table", "bucket").distinct().count()
+    assert [s.count() for s in sent] == [1500, 1500] and buckets <= 2
