@@ -7,6 +7,7 @@ wider buckets find more and compare more.  It never stands in for :func:`tessera
 
 A bucket is split into blocks of bounded size that meet pairwise, so one that holds a third of all rows
 is many tasks; each pair of blocks gives its k best only, and no bucket is expanded into rows for its pairs.
+Blocks are as large as knn's tiles, since a row is shuffled once for each block of the other side.
 """
 from __future__ import annotations
 
@@ -17,7 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.ml.knn import POINT_BLOCK, QUERY_BLOCK, _best_of_block, _first, vector_parts
+from tessera.ml.knn import POINT_BLOCK, POINT_TILE, QUERY_BLOCK, QUERY_TILE, _best_of_block, _first, vector_parts
 
 
 def _split(keyed: DataFrame, id_col: str, sizes: DataFrame, mine: str, other: str, block: int, other_block: int) -> DataFrame:
@@ -29,7 +30,7 @@ def _split(keyed: DataFrame, id_col: str, sizes: DataFrame, mine: str, other: st
 
 
 def lsh_neighbours(queries: DataFrame, points: DataFrame, id_col: str, cols: Sequence[str] | str, k: int, bucket_length: float, tables: int = 8,
-                   seed: int = 0, exclude_self: bool = True, query_block: int = QUERY_BLOCK, point_block: int = POINT_BLOCK) -> DataFrame:
+                   seed: int = 0, exclude_self: bool = True, query_block: int = QUERY_BLOCK * QUERY_TILE, point_block: int = POINT_BLOCK * POINT_TILE) -> DataFrame:
     """(qid, pid, dist2, rank) like ``knn``, among the points that share a bucket; a query may get fewer than k rows."""
     vector = cols if isinstance(cols, str) else "__vector"
     parts = ["i", "x"] if isinstance(cols, str) else ["v"]
