@@ -1,5 +1,6 @@
 """The registered model queries on the smallest driver tables, and what must follow from their output."""
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,18 @@ def test_lsh_neighbours_of_the_embeddings(spark, run):
     for r in run("ml_lsh_neighbours"):
         found.setdefault(r.qid, set()).add(r.pid)
     assert sum(len(exact[q] & found.get(q, set())) for q in exact) >= 0.9 * sum(map(len, exact.values()))
+
+
+def test_what_overlapping_fits_share_is_built_once(spark):
+    built = []
+
+    def build():
+        time.sleep(0.2)
+        built.append(1)
+        return len(built)
+
+    try:
+        assert Q._overlapped(lambda n: Q._shared(spark, "slow", build) + n, [(0,), (1,), (2,)]) == [1, 2, 3] and built == [1]
+    finally:
+        for key in ("slow", ("lock", "slow")):
+            session_store(spark, "models").pop(key, None)
