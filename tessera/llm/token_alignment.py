@@ -25,11 +25,13 @@ an empty result; other columns of the input are ignored.
 """
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from itertools import chain
 
@@ -55,6 +57,18 @@ _odd_space = re.compile(r"^\s|\s\s|\s\Z").search
 _single_space = re.compile(r"(?<=\S) (?=\S)")
 
 
+@contextmanager
+def _uncollected():
+    """No search for reference cycles meanwhile: words, tokens and spans make none, and each search walks all of them."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def refined_widths(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Bytes that each token of a run of text covers.
 
@@ -214,7 +228,8 @@ class Aligner:
         """The alignment of whole texts, one after the other; a text that does not come back has no tokens."""
         keys = [self.keys(t) if t else [] for t in texts]
         flat = list(chain.from_iterable(keys))
-        self._known(flat)
+        with _uncollected():
+            self._known(flat)
         words = np.fromiter(map(self._recent.index.__getitem__, flat), np.int64, len(flat))
         owner = np.repeat(np.arange(len(texts)), [len(k) for k in keys])
         bad = np.zeros(len(texts), bool)

@@ -119,3 +119,19 @@ def test_registered_query(spark, plain):
     got = queries.op13_token_alignment(spark, sf)
     assert got.columns[:8] == COLUMNS
     assert sorted((tuple(r) for r in got.select(*COLUMNS).collect()), key=str) == expected(rows, plain)
+
+
+def test_no_cycle_search_while_words_are_aligned(monkeypatch):
+    import gc
+
+    aligner = A.load(BYTE_BPE, PIECE_BPE)
+    seen = []
+
+    def known(self, keys):
+        seen.append(gc.isenabled())
+        raise LookupError
+
+    monkeypatch.setattr(A.Aligner, "_known", known)
+    with pytest.raises(LookupError):
+        aligner.aligned(["a word"])
+    assert seen == [False] and gc.isenabled()  # back on, also when the words fail
