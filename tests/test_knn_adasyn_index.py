@@ -113,3 +113,29 @@ def test_lsh_sends_a_row_once_for_a_bucket_of_thousands(spark, monkeypatch):
     assert lsh_neighbours(df, df, "id", ["a", "b"], 3, 100.0, 1).count() == 4500
     buckets = sent[1].select("table", "bucket").distinct().count()
     assert [s.count() for s in sent] == [1500, 1500] and buckets <= 2
+
+
+def test_many_blocks_are_held_in_few_tasks(spark):
+    df, x, cols = clustered(spark, n=600)
+    points = df.select(F.col("id").alias("pid"), *KN.vector_parts(cols))
+    blocked = KN._blocked(points, "pid", KN.choose_pivots(points), 200)
+    assert blocked.rdd.getNumPartitions() <= max(200 // KN.BLOCKS_PER_TASK, spark.sparkContext.defaultParallelism)
+    sizes = {r["block"]: r["count"] for r in blocked.groupBy("block").count().collect()}
+    assert sum(sizes.values()) == 600 and len(sizes) > 150 and max(sizes) < 200  # blocks stay what they were
+
+
+def test_the_two_searches_of_adasyn_overlap(spark, monkeypatch):
+    import threading
+
+    from tessera.ml import adasyn as AD
+
+    both = threading.Barrier(2, timeout=60)  # breaks when one search waits for the other
+
+    def search(*args, **kw):
+        both.wait()
+        return knn(*args, **kw)
+
+    monkeypatch.setattr(AD, "knn", search)
+    rows = [(i, float(i % 7), float(i % 5)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    assert AD.adasyn_samples(df, "id", ["a", "b"], F.col("id") < 10, 3).count() > 0
