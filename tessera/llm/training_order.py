@@ -167,7 +167,8 @@ def write_stride_files(ordered: DataFrame, path: str) -> None:
     """One plain file for each shard under path/records/shard=<number>: records one after the other, a line end after each, so
     row r of a shard stands at byte r * (record width + 1); and the records' places (slot, shard, row, doc_id, seq_no, n_tokens)
     as a table under path/places.  `ordered` is what training_order returns."""
-    ordered.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/records")
+    by_place = ordered.sortWithinPartitions("shard", "slot")  # the write's own sort by shard would not keep the order of slots
+    by_place.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").text(f"{path}/records")
     ordered.drop("record").write.parquet(f"{path}/places")
 
 
