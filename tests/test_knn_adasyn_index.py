@@ -139,3 +139,17 @@ def test_the_two_searches_of_adasyn_overlap(spark, monkeypatch):
     rows = [(i, float(i % 7), float(i % 5)) for i in range(40)]
     df = spark.createDataFrame(rows, "id long, a double, b double")
     assert AD.adasyn_samples(df, "id", ["a", "b"], F.col("id") < 10, 3).count() > 0
+
+
+def test_few_blocks_are_cut_into_tiles_for_all_cores(spark):
+    tile, tasks = KN._tiling(54, 27, 12, 8)  # 27 000 queries, 108 000 points
+    assert tile < KN.POINT_TILE and tasks >= 12 * KN.TILES_PER_CORE
+    assert KN._tiling(4096, 4096, 12, 200) == (KN.POINT_TILE, 200)      # many tiles keep their size
+    assert KN._tiling(1, 1, 12, 200) == (1, 1)
+    df, _, cols = clustered(spark)
+    q = df.select(F.col("id").alias("qid"), *KN.vector_parts(cols), (F.col("id") % 40).cast("int").alias("block"))
+    p = df.select(F.col("id").alias("pid"), *KN.vector_parts(cols), (F.col("id") % 24).cast("int").alias("block"))
+    pairs = spark.range(40 * 24).selectExpr("cast(id % 40 as int) AS qb", "cast(id div 40 as int) AS pb")
+    tasks = KN._tiling(40, 24, spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))[1]
+    plan = KN._search(pairs, q, p, ["v"], 5, True, 40, 24)._jdf.queryExecution().optimizedPlan().toString()
+    assert tasks > 1 and plan.count(f", {tasks}") >= 2  # both sides are dealt over as many tasks
